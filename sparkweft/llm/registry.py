@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules(read(spark, sf_dir, "documents")).select(*names)
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -24,4 +31,5 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)""",
+    "op8_quality_rules": QUALITY_SQL,
 }
