@@ -1,7 +1,8 @@
 """Quality rules whose cutoffs come from the data: quantile sketches per language and source.
 
 Signals of a text are rates per thousand, so whole numbers from 0 up:
-symbols per word character, words in repeated 3-word windows, repeated lines, and word length.
+symbols per word character, words in repeated 3-word windows, repeated lines beyond the first (a short
+text may well have one), and word length.
 The sketch of a signal is its histogram over buckets of fixed width, kept per (language, source).
 Such sketches merge by adding counts, in any order, so map tasks combine before the shuffle, a hot
 source is no hot key, and results are the same in every run. Languages and the whole table have the
@@ -27,7 +28,7 @@ SYMBOLS = "#*$%&|<>"
 #: signal: (bucket width, spread, least distance, sides)
 RULES = {
     "symbol_rate": (2, 8, 5, "upper"),
-    "repeat_rate": (5, 6, 40, "upper"),
+    "repeat_rate": (5, 6, 60, "upper"),
     "dup_line_rate": (5, 8, 30, "upper"),
     "word_length": (10, 6, 50, "both"),
 }
@@ -77,7 +78,7 @@ def with_rates(signals: DataFrame) -> DataFrame:
         "base_failed": F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"),
         "symbol_rate": rate("n_symbols", "word_chars"),
         "repeat_rate": rate("n_repeat_words", "n_words"),
-        "dup_line_rate": rate("n_dup_lines", "n_lines"),
+        "dup_line_rate": rate("greatest(n_dup_lines - 1, 0)", "n_lines"),
         "word_length": F.expr("(word_chars * 100) div greatest(n_words, 1)"),
     })
 
@@ -85,8 +86,7 @@ def with_rates(signals: DataFrame) -> DataFrame:
 def sketches(rates: DataFrame) -> DataFrame:
     """lang, source, signal, bucket, rows: the mergeable histograms of the rows that pass the base rules.
 
-    Signals are unpivoted after counting by all four buckets at once would not shrink; each map task
-    sends at most one row a bucket, so the shuffle is bounded by groups and buckets, not by rows.
+    Each map task sends at most one row a bucket, so the shuffle is bounded by groups and buckets, not by rows.
     """
     long = rates.filter("not base_failed").select(
         "lang", "source",
@@ -101,8 +101,7 @@ def _quantiles(spark_frame: DataFrame, keys: list[str]) -> DataFrame:
     hist = merged.groupBy(*keys, "signal").agg(F.sum("rows").alias("n"), F.array_sort(F.collect_list(F.struct("bucket", "rows"))).alias("h"))
 
     def at(part: str) -> str:
-        walk = f"aggregate(h, named_struct('seen', 0L, 'at', cast(null as bigint)), (a, x) -> named_struct('seen', a.seen + x.rows, 'at', coalesce(a.at, if({part} * (a.seen + x.rows) >= n, x.bucket, cast(null as bigint)))), a -> a.at)"
-        return walk
+        return f"aggregate(h, named_struct('seen', 0L, 'at', cast(null as bigint)), (a, x) -> named_struct('seen', a.seen + x.rows, 'at', coalesce(a.at, if({part} * (a.seen + x.rows) >= n, x.bucket, cast(null as bigint)))), a -> a.at)"
 
     return hist.select(*keys, "signal", "n", F.expr(at("2")).alias("q50"), F.expr(at("10")).alias("q10"))
 
@@ -185,7 +184,7 @@ base AS (
     FROM words JOIN lines USING (r) LEFT JOIN covered USING (r)),
 rates AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_symbols * 1000 // greatest(word_chars, 1) AS symbol_rate,
-           n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_rate,
+           n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate, greatest(n_dup_lines - 1, 0) * 1000 // greatest(n_lines, 1) AS dup_line_rate,
            word_chars * 100 // greatest(n_words, 1) AS word_length
     FROM base),
 hist AS (

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
+from sparkweft.llm.simhash import simhash_components
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +19,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents")).select(*names)
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
