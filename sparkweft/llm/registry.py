@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkweft.llm.bpe import encode_digests
 from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 from sparkweft.llm.simhash import simhash_components
 
@@ -23,9 +26,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
