@@ -11,6 +11,7 @@ from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 from sparkweft.llm.simhash import simhash_components
+from sparkweft.llm.substring_dedup import substring_dedup
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -36,6 +41,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
