@@ -109,3 +109,12 @@ def split_sorted(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]
     of = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     edges = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]])
     return of[edges[:-1]], edges
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of the same weight together, so that Spark's compression finds the zeros."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def unplanes(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkweft.llm.bpe import encode_digests
 from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.kneser_ney import lm_scores
 from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 from sparkweft.llm.simhash import simhash_components
@@ -27,6 +29,15 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def fold(n: int, id_col: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo n; a null id is the empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read(spark, sf_dir, "documents"), fold(7) != 2)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
 
@@ -41,6 +52,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_kneser_ney": op3_kneser_ney,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.arrays import bits_for, buckets, split_sorted, write_bucket
+from sparkweft.llm.arrays import bits_for, buckets, planes, split_sorted, unplanes, write_bucket
 from sparkweft.llm.common import shared_folder
 from sparkweft.llm.words import Windows, WordHashes, split_words
 
@@ -116,16 +116,6 @@ def _keys(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[row], (starts - block.first[row]).astype(np.int32)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of the same weight together, so that Spark's compression finds the zeros."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-
-
-def _unplanes(data: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 def store_anchors(rows: DataFrame, folder: str, bits: int, length: int, period: int, cover: tuple[int, ...]) -> int:
     """Write the anchors found twice or more; returns their number."""
 
@@ -173,10 +163,10 @@ def store_windows(rows: DataFrame, folder: str, bits: int, length: int, period:
             found, edges = split_sorted(h, bits)
             spans = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
             columns = {"h": h, "c": c, "d": ids, "s": at, "m": many.astype(np.uint8)}
-            yield pa.record_batch({"bucket": pa.array(found, pa.int64()), **{k: pa.array([_planes(v[x]) for x in spans], pa.binary()) for k, v in columns.items()}})
+            yield pa.record_batch({"bucket": pa.array(found, pa.int64()), **{k: pa.array([planes(v[x]) for x in spans], pa.binary()) for k, v in columns.items()}})
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h, c, ids, at, many = (np.concatenate([_unplanes(x, k) for x in part[n]]) for n, k in zip("hcdsm", [*_WINDOW, "|u1"], strict=True))
+        h, c, ids, at, many = (np.concatenate([unplanes(x, k) for x in part[n]]) for n, k in zip("hcdsm", [*_WINDOW, "|u1"], strict=True))
         order = np.lexsort((at, ids, c, h))
         h, c, ids, at, many = h[order], c[order], ids[order], at[order], many[order]
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])

@@ -9,7 +9,7 @@ import xxhash
 
 SPACE_RUN = re.compile(r"[ \t-\r]+")
 #: White space of str.split() that is no white space here.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
