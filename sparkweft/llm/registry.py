@@ -12,6 +12,7 @@ from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.kneser_ney import lm_scores
 from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
+from sparkweft.llm.secrets import scan
 from sparkweft.llm.simhash import simhash_components
 from sparkweft.llm.substring_dedup import substring_dedup
 
@@ -42,6 +43,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_kneser_ney": op3_kneser_ney,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
