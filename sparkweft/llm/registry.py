@@ -11,6 +11,7 @@ from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.kneser_ney import lm_scores
 from sparkweft.llm.packing import pack_documents
+from sparkweft.llm.quality_classifier import quality_scores
 from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 from sparkweft.llm.secrets import scan
 from sparkweft.llm.simhash import simhash_components
@@ -39,6 +40,10 @@ def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read(spark, sf_dir, "documents"), fold(7) != 2)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), fold(3) != 1)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_kneser_ney": op3_kneser_ney,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_byte_bpe": op7_byte_bpe,
