@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkweft.llm.bpe import encode_digests
 from sparkweft.llm.common import read
 from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.html_extract import extract
 from sparkweft.llm.kneser_ney import lm_scores
 from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_classifier import quality_scores
@@ -18,6 +19,10 @@ from sparkweft.llm.simhash import simhash_components
 from sparkweft.llm.substring_dedup import substring_dedup
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_quality_classifier": op4_quality_classifier,
