@@ -48,14 +48,15 @@ def features(tree: Tree) -> tuple[list[list[str]], np.ndarray]:
     out, edge = [], np.empty(n, np.int64)
     for k in range(n):
         size, link = min(words[k].bit_length(), 10), 4 * linked[k] // max(chars[k], 1)
+        share = 5 * chars[k] // max(chars[0], 1)  # of the page's characters
         dense = min(3, 20 * commas[k] // max(words[k], 1))
         if tree.tag[k]:
-            found = [f"T{tree.tag[k]}", f"N{size}", f"L{link}", f"B{min(leaves[k].bit_length(), 5)}", f"D{dense}", f"TN{tree.tag[k]}{size // 3}", *(f"K{x}" for x in tree.parts[k])]
+            found = [f"T{tree.tag[k]}", f"N{size}", f"L{link}", f"B{min(leaves[k].bit_length(), 5)}", f"D{dense}", f"S{share}", f"TN{tree.tag[k]}{size // 3}", *(f"K{x}" for x in tree.parts[k])]
             if len(tree.parts[k]) == 0:
                 found.append("bare")
         else:
             t = tree.text[k]
-            found = ["leaf", f"n{size}", f"l{link}", f"d{dense}", f"nl{size // 3}{link > 1}"]
+            found = ["leaf", f"n{size}", f"l{link}", f"d{dense}", f"s{share}", f"nl{size // 3}{link > 1}"]
             if t[-1] in ".!?…:;\"'":
                 found.append("end")
             if "©" in t[:3] or "copyright" in t[:30].lower():
@@ -135,7 +136,7 @@ def given_labels(tree: Tree) -> list[int]:
 class Model:
     """Weights of features and edges, learned from labelled pages."""
 
-    def __init__(self, pages: int = 700, seed: int = 3, rounds: int = 150, ridge: float = 2e-4, rate: float = 0.1):
+    def __init__(self, pages: int = 700, seed: int = 3, rounds: int = 150, ridge: float = 1e-5, rate: float = 0.15):
         trees = [parse(p) for p in labelled_pages(pages, seed)]
         self.index: dict[str, int] = {}
         forest = Forest(trees, self.index, grow=True)

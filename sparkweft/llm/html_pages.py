@@ -7,6 +7,7 @@ nearest one above. Words are made up, so that only structure can be learned from
 from __future__ import annotations
 
 import random
+import re
 
 _SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve ung ch sch eau ment que ión ß ä é".split()
 #: Names that pages give to parts: fixed lists, by kind.
@@ -97,8 +98,10 @@ class Maker:
                 parts.append(self.side(r.choice(["advert", "share", "sidebar", "notice", "form", "nav"])))
         if r.random() < 0.15:
             parts.append(self.side(r.choice(["comments", "share", "sidebar", "footer"])))
-        tag = r.choice(["article", "article", "article", "main", "div", "div", "section", "td"])
+        tag = r.choice(["article", "article", "article", "main", "div", "div", "div", "section", "td"])
         bare = tag in ("article", "main") and r.random() < 0.6 or r.random() < 0.05
+        if r.random() < 0.15:  # no element around the article
+            return "".join(x if "data-y" in x[:90] else re.sub(r"^<(\w+)", r'<\1 data-y="1"', x) for x in parts)
         inner = "".join(parts)
         if r.random() < 0.3:
             inner = f'<div{self.named("article") if r.random() < 0.7 else ""}>{inner}</div>'
@@ -107,6 +110,8 @@ class Maker:
 
     def page(self) -> str:
         r = self.r
+        if r.random() < 0.04:
+            return self.article()
         before = [self.side(k) for k in ("nav", "header", "notice", "advert", "form", "sidebar") if r.random() < 0.4]
         after = [self.side(k) for k in ("comments", "sidebar", "advert", "form", "nav", "share", "notice", "footer") if r.random() < (0.7 if k == "footer" else 0.35)]
         r.shuffle(before)
