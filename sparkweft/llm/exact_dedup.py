@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.common import lower_az, materialise, text_of
+from sparkweft.llm.common import lower_az, materialise, row_key, text_of
 
 
 def sha256(text: Column) -> Column:
@@ -38,7 +38,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, salts: int = 64) -> DataFrame:
-    """A row for every row of docs: id, keep_id, group_size, kept, text_sha256.
+    """A row for every row of docs: id, keep_id, group_size, kept, text_sha256, key_text (see common.row_key).
 
     A digest that stands for one text only (all of them, with SHA-256) is joined by the digest; if a
     digest stands for several, its rows are joined by digest and text.
@@ -49,10 +49,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "exact",
     )
     norm = lower_az(text_of(text_col))
-    rows = docs.select(F.col(id_col), digest(norm).alias("_digest"), F.sha2(norm, 256).alias("text_sha256"))
+    rows = docs.select(F.col(id_col), digest(norm).alias("_digest"), F.sha2(norm, 256).alias("text_sha256"), row_key(id_col, text_col)[1])
     joined = rows.join(by_digest.filter("_texts = 1"), "_digest")
     if by_digest.filter("_texts > 1").limit(1).count():
         shared = by_digest.filter("_texts > 1").select("_digest")
-        whole = docs.select(F.col(id_col), digest(norm).alias("_digest"), F.sha2(norm, 256).alias("text_sha256"), norm.alias("_norm"))
+        whole = docs.select(F.col(id_col), digest(norm).alias("_digest"), F.sha2(norm, 256).alias("text_sha256"), row_key(id_col, text_col)[1], norm.alias("_norm"))
         joined = joined.drop("_texts").unionByName(whole.join(found.join(shared, "_digest", "left_semi"), ["_digest", "_norm"]).drop("_norm"))
-    return joined.select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return joined.select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "key_text")

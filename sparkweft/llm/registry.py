@@ -24,7 +24,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read(spark, sf_dir, "documents"))
+    return exact_dedup(read(spark, sf_dir, "documents")).drop("key_text")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

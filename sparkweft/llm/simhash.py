@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.common import materialise
+from sparkweft.llm.common import materialise, row_key
 from sparkweft.llm.words import lower_az, split_words
 
 REACH = 2
@@ -64,15 +64,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and fp, the fingerprint as a signed long."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """id, key_text (see common.row_key) and fp, the fingerprint as a signed long."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col)[1], F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(x.as_py()) for x in b["text"]], np.uint64).view(np.int64)
-            yield pa.record_batch({"id": b["id"], "fp": pa.array(fps, pa.int64())})
+            yield pa.record_batch({"id": b["id"], "key_text": b["key_text"], "fp": pa.array(fps, pa.int64())})
 
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, key_text long, fp long")
 
 
 def _pivots(n: int = 24, seed: int = 7) -> list[int]:
@@ -134,11 +134,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, groups: int = GROUPS, most: int = MOST) -> DataFrame:
-    """id, fingerprint (16 hex digits), component_id (smallest id reachable) and fp for each row of docs."""
+    """id, fingerprint (16 hex digits), component_id (smallest id reachable), fp and key_text for each row of docs."""
     rows = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("low")), "nodes")
     roots = components(links(nodes.select("fp"), reach, groups, most))
     named = materialise(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "roots")
     smallest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = named.join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
+    return rows.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", "key_text")
