@@ -4,8 +4,8 @@ Trusted positives are rows labelled 1 in the learning fold; the unlabelled web t
 its label. With z the score's logit, the logistic loss l and the class prior q, training minimises
     q E_p[l(z)] + max(0, E_u[l(-z)] - q E_p[l(-z)]) + ridge / 2 |w|^2,
 so rows labelled 0 are no training examples; they count in the prior only, which is the share of label 1 among
-the learning fold's labels (or a parameter). Where the second part is negative, the step goes up its gradient
-instead, as in the non-negative estimator.
+the learning fold's labels (or a parameter). A fit whose second part is negative has fitted its sample's noise: it
+is refused, and the ridge grows threefold until the part is non-negative at the minimum (few positives need more).
 
 Features are shares and logarithms of a whole text (characters by class, words, repeats, lines), computed once
 and stored with the flag of trusted positives: some 60 numbers a row. A Newton step is one pass over that
@@ -37,7 +37,7 @@ _CLASS = np.full(256, len(CLASSES), np.int64)
 for _k, _chars in enumerate(CLASSES):
     _CLASS[[ord(_c) for _c in _chars]] = _k
 RAW = len(CLASSES) + 1 + 14
-RIDGE, SLOTS, ROUNDS = 0.1, 32, 12
+RIDGES, SLOTS, ROUNDS = (0.1, 0.3, 1.0, 3.0, 10.0), 32, 10
 WIDE = 1 + 2 * RAW
 
 
@@ -126,32 +126,34 @@ def risk_parts(x: np.ndarray, flags: np.ndarray, weights: np.ndarray, mean: np.n
     ])
 
 
-def fit(table: DataFrame, prior: float, ridge: float = RIDGE, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fit(table: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights, means and scales from a table of f (features) and p (trusted positive)."""
-    weights, mean, scale = np.zeros(WIDE), np.zeros(WIDE), np.ones(WIDE)
-    weights[0] = np.log(prior / (1 - prior))
+    start, mean, scale = np.zeros(WIDE), np.zeros(WIDE), np.ones(WIDE)
+    start[0] = np.log(prior / (1 - prior))
     found = _summed(table, moments)
     if found is None or not found[1]:
-        return weights, mean, scale
+        return start, mean, scale
     n, positives = found[:2]
     mean = found[2 : 2 + WIDE] / n
     scale = np.maximum(np.sqrt(np.maximum(found[2 + WIDE :] / n - mean**2, 0)), 1e-6)
     mean[0], scale[0] = 0.0, 1.0
-    pull = np.full(WIDE, ridge)
-    pull[0] = 0.0
-    for _ in range(rounds):
-        now = weights.copy()
-        found = _summed(table, lambda x, flags: risk_parts(x, flags, now, mean, scale))  # noqa: B023
-        negative = found[0] / n - prior * found[1] / positives
-        of_all, of_positives, upward = found[2:].reshape(-1)[: 3 * WIDE].reshape(3, WIDE)
-        down = of_all / n - prior * of_positives / positives
-        slope = prior * upward / positives + down + pull * weights if negative >= 0 else -down
-        curve = found[2 + 3 * WIDE :].reshape(WIDE, WIDE) / n + np.diag(pull + 1e-6)
-        step = np.linalg.solve(curve, slope)
-        step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-        weights = weights - step
-        if np.abs(step).max() < 1e-6:
-            break
+    for ridge in ridges:
+        weights, pull = start, np.full(WIDE, ridge)
+        pull[0] = 0.0
+        for turn in range(rounds):
+            found = _summed(table, lambda x, flags: risk_parts(x, flags, weights, mean, scale))  # noqa: B023
+            negative = found[0] / n - prior * found[1] / positives
+            if negative < 0 and turn > 1 and ridge != ridges[-1]:
+                break
+            of_all, of_positives, upward = found[2 : 2 + 3 * WIDE].reshape(3, WIDE)
+            slope = prior * upward / positives + of_all / n - prior * of_positives / positives + pull * weights
+            step = np.linalg.solve(found[2 + 3 * WIDE :].reshape(WIDE, WIDE) / n + np.diag(pull + 1e-6), slope)
+            step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+            weights = weights - step
+            if np.abs(step).max() < 1e-4:
+                return weights, mean, scale
+        else:
+            return weights, mean, scale
     return weights, mean, scale
 
 
@@ -172,7 +174,7 @@ def judged(labels: DataFrame, in_learning: Column, id_col: str, label_col: str)
     return rows.groupBy(F.col(id_col).cast("long").alias("_id")).agg((F.min(label_col) == 1).alias("good"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, in_learning: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float | None = None, ridge: float = RIDGE) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, in_learning: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float | None = None, ridges: tuple[float, ...] = RIDGES) -> DataFrame:
     """id, held_out, score, predicted of every row of docs; labels are read where in_learning (of the id) holds."""
     known = materialise(judged(labels, in_learning, id_col, label_col), "judged")
     n, good = known.agg(F.count(F.lit(1)), F.count_if("good")).first()
@@ -185,7 +187,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, in_learning: Column, id_c
         joined = flagged(featurised(docs.filter(F.col(id_col).isNotNull()), id_col, text_col), trusted)
         joined = joined.unionByName(featurised(docs.filter(F.col(id_col).isNull()), id_col, text_col).withColumn("p", F.lit(False)))
     table = materialise(joined.withColumn("p", F.coalesce("p", F.lit(False))), "features")
-    weights, mean, scale = fit(table, prior, ridge)
+    weights, mean, scale = fit(table, prior, ridges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,0 +1,182 @@
+"""Exact dedup, SimHash, substring dedup, quality rules, secrets against brute force, on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import WORD, awkward, components, fingerprint, frame, lower_az, removed
+
+from sparkweft.llm import quality_rules as quality
+from sparkweft.llm import secrets, simhash, substring_dedup
+from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.words import WordHashes, Windows, split_words
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return awkward()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return frame(spark, rows).repartition(3).cache()
+
+
+def test_exact_dedup(docs, rows):
+    groups: dict[str, list] = {}
+    for i, t, *_ in rows:
+        groups.setdefault(lower_az(t or ""), []).append(i)
+    want = []
+    for i, t, *_ in rows:
+        ids = groups[lower_az(t or "")]
+        top = max((x for x in ids if x is not None), default=None)
+        want.append((i, top, len(ids), i == top, hashlib.sha256(lower_az(t or "").encode()).hexdigest()))
+    got = [tuple(r)[:5] for r in exact_dedup(docs).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def test_exact_dedup_by_a_digest_that_collides(docs, rows):
+    """Different texts with one digest stay apart."""
+    from pyspark.sql import functions as F
+
+    same = lambda c: F.lit(b"0")
+    plain, shared = exact_dedup(docs).collect(), exact_dedup(docs, digest=same).collect()
+    assert Counter(map(tuple, plain)) == Counter(map(tuple, shared))
+
+
+def test_simhash_against_brute_force(docs, rows):
+    fps = [(i, fingerprint(t)) for i, t, *_ in rows]
+    roots = components(fps)
+    want = Counter((i, f"{f:016x}", roots[f]) for i, f in fps)
+    got = Counter((r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_components(docs).collect())
+    assert got == want
+    crowded = simhash.simhash_components(docs, most=1).collect()
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in crowded) == want
+
+
+def test_simhash_links_join_what_all_links_join(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 6)
+    fps = {int(b) for b in base}
+    for b in list(fps):
+        for _ in range(60):
+            x = b
+            for _ in range(rng.integers(1, 5)):
+                x ^= 1 << int(rng.integers(0, 63))
+            fps.add(x)
+    want = components([(f, f) for f in fps])
+    for most in (32, 2):
+        edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), most=most)
+        roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+        assert {f: roots.get(f, f) for f in fps} == want
+
+
+def test_substring_dedup(spark, rows):
+    unique = {i: t for i, t, *_ in rows if i is not None}
+    d = frame(spark, [(i, t, "en", "s") for i, t in unique.items()]).repartition(3)
+    want = {i: (n, g, hashlib.sha256(k.encode()).hexdigest()) for i, (n, g, k) in removed(list(unique.items())).items()}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(d).collect()}
+    assert got == want
+    assert sum(g for _, g, _ in want.values()) > 500
+
+
+def test_substring_dedup_of_repeated_and_null_ids(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    d = frame(spark, [(1, text, "en", "s"), (1, text, "en", "s"), (None, text, "en", "s"), (2, None, "en", "s")])
+    got = sorted(((r.doc_id or 0), r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(d).collect())
+    assert got == [(0, 30, 30), (1, 30, 0), (1, 30, 0), (2, 0, 0)]
+
+
+def _base_signals(text: str | None) -> tuple:
+    t = text or ""
+    w = WORD.findall(t)
+    counts = Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {k + j for k in range(len(w) - 2) if counts[tuple(w[k : k + 3])] > 1 for j in range(3)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_rules(docs, rows):
+    got = quality.quality_rules(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == Counter((i, *_base_signals(t)) for i, t, *_ in rows)
+    assert not any(r.kept for r in got if r.base_failed)
+    con = duckdb.connect()
+    rows_of = docs.select("doc_id", "text", "lang", "source").toPandas()  # noqa: F841
+    con.sql("create view documents as select doc_id::BIGINT AS doc_id, text, lang, source from rows_of")
+    want = Counter((None if i != i or i is None else int(i), bool(k)) for i, k in con.sql(f"select doc_id, kept from ({quality.QUALITY_SQL})").fetchall())
+    assert Counter((r.doc_id, r.kept) for r in got) == want
+
+
+def _base_findings(text: str) -> list[tuple[int, str, int]]:
+    out = [(m.start(), "assign", m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 6]
+    out += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out, key=lambda x: (x[0], ("assign", "access", "hex").index(x[1])))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["token", "Password", "API_KEY", "apikey", "secret", " = ", "=", ":", '"', "'", " ", "abcdef", "0123456789abcdef01234567", "AKIA", "ABCDEFGH12345678", "é", "ſecret", "\n", "-", "."]), max_size=25))
+def test_base_findings(parts):
+    text = "".join(parts)
+    assert secrets.base_findings(text) == _base_findings(text)
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return secrets.scanner()
+
+
+def test_scanner_recall_and_false_findings(scanner):
+    fresh = secrets.labelled_findings(1500, 99)
+    found = [any(a <= s and e <= b or s <= a and b <= e for a, _, b in every) for (_, s, e, _, _), (_, every) in zip(fresh, scanner.findings([f[0] for f in fresh]), strict=True)]
+    yes = [x for x, f in zip(found, fresh, strict=True) if f[4]]
+    no = [x for x, f in zip(found, fresh, strict=True) if not f[4]]
+    assert sum(yes) / len(yes) > 0.93 and sum(no) / len(no) < 0.2
+
+
+def test_added_spans_overlap_nothing(scanner):
+    text = 'token = "ghp_abcDEF123ghiJKL456mnoPQR789stuVWX012" and xoxb-1234567890-1234567890-AbCdEfGhIjKlMnOpQrStUv12 ' * 50
+    base, every = scanner.findings([text])[0]
+    assert [x for x in every if x[1] != secrets.ADDED] == base
+    spans = sorted((a, b) for a, k, b in every if k == secrets.ADDED)
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
+def test_scan_and_redact(spark, docs, rows):
+    got = {(r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in secrets.scan(docs).collect()}
+    assert got == {(i, 0, 0, 0) for i, *_ in rows}
+    planted = frame(spark, [(1, 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y', "en", "s"), (2, None, "en", "s"), (3, "clean text", "en", "s")])
+    out = {r.doc_id: r for r in secrets.redact(planted).collect()}
+    assert out[1].text == 'x [secret]" y' and out[1].n_chars == len(out[1].text)
+    assert out[2].text is None and out[3].text == "clean text" and out[3].n_chars == 10
+    assert secrets.scan(planted).filter("doc_id = 1").first().spans == "assign:2:51,hex:11:51"
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    for f in (exact_dedup, simhash.simhash_components, substring_dedup.substring_dedup, quality.quality_rules, secrets.scan, secrets.redact):
+        assert f(none).count() == 0
+
+
+@given(st.text(alphabet="ab \t\n\x0b\x0c\r\x1c\x85 　é", max_size=60))
+def test_words(text):
+    assert split_words(text) == WORD.findall(text)
+
+
+@given(st.lists(st.sampled_from("abc"), min_size=0, max_size=40), st.integers(1, 8))
+def test_window_hashes(words, n):
+    h = WordHashes().of(words)
+    w = Windows()
+    got = w.at(w.sums(h), n)
+    assert len(got) == max(0, len(words) - n + 1)
+    for a in range(len(got)):
+        for b in range(len(got)):
+            assert (got[a] == got[b]) == (words[a : a + n] == words[b : b + n])
