@@ -56,18 +56,20 @@ class Encoder:
             if cut is None:
                 yield self._encode([text])[0]
                 continue
-            if missing := set(cut).difference(self.known):
-                self._learn([*missing])
+            if not self.known.keys() >= (wanted := set(cut)):
+                self._learn(wanted)
             yield b"".join(map(self.known.__getitem__, cut))
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, wanted: set[str]) -> None:
+        """Puts all of wanted among the known; when those are many, they become the older ones first."""
         if len(self.known) > self.most:
             self.older, self.known = self.known, {}
-        older = self.older
+        known, older = self.known, self.older
+        missing = wanted.difference(known)
+        known.update((x, older[x]) for x in missing if x in older)
         new = [x for x in missing if x not in older]
-        self.known.update((x, older[x]) for x in missing if x in older)
         if new:
-            self.known.update(zip(new, self._encode(new), strict=True))
+            known.update(zip(new, self._encode(new), strict=True))
 
 
 @lru_cache(maxsize=2)
