@@ -1,7 +1,7 @@
 """Keyed tables on parquet, partitioned by collection: upsert, replace, clear, append, reference checks.
 
 Parquet has no MERGE, so a write computes the new content of the collections concerned, writes it to a new version
-and then points the table at it: `<table>/_current` holds the version's name and is replaced in one step, so readers
+and then points the table at it: `<table>/CURRENT` holds the version's name and is replaced in one step, so readers
 see the old or the new content and a failed write leaves the old one.
 """
 
@@ -58,10 +58,10 @@ class Warehouse:
             self._fs.mkdirs(self._hadoop(name))
 
     def _version(self, name: str) -> str | None:
-        pointer = self._hadoop(name, "_current")
+        pointer = self._hadoop(name, "CURRENT")
         if not self._fs.exists(pointer):
             return None
-        return json.loads(self.spark.read.text(f"{self.path}/{name}/_current", wholetext=True).first()[0])["version"]
+        return json.loads(self.spark.read.text(f"{self.path}/{name}/CURRENT", wholetext=True).first()[0])["version"]
 
     def read(self, name: str) -> DataFrame:
         version, schema = self._version(name), TABLES[name].schema
@@ -73,7 +73,7 @@ class Warehouse:
         writer = rows.write.mode("errorifexists")
         (writer.partitionBy("collection") if name != "crawl_runs" else writer).parquet(f"{self.path}/{name}/{version}")
         old = self._version(name)
-        staged, pointer = self._hadoop(name, f"_next-{version}"), self._hadoop(name, "_current")
+        staged, pointer = self._hadoop(name, f"NEXT-{version}"), self._hadoop(name, "CURRENT")
         out = self._fs.create(staged, True)
         out.write(bytearray(json.dumps({"version": version}).encode()))
         out.close()
