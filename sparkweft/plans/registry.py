@@ -53,11 +53,12 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT query_id, vec_id, score, rank FROM (
          SELECT q.vec_id::INT AS query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score,
                 row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id)::INT AS rank
-         FROM embeddings e, embeddings q WHERE q.vec_id < 10) WHERE rank <= 20"""
+         FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0) WHERE rank <= 20"""
 )
 def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every row whose id is divisible by 50; they are searched among all rows."""
     e = read(spark, sf_dir, "embeddings")
-    queries = e.filter("vec_id < 10").select(F.col("vec_id").cast("int").alias("query_id"), F.col("embedding").alias("query_vector"))
+    queries = e.filter("vec_id % 50 = 0").select(F.col("vec_id").cast("int").alias("query_id"), F.col("embedding").alias("query_vector"))
     return retrieve.vector_topk_batch(e, queries, 20, "vec_id").select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -99,9 +100,6 @@ def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(F.broadcast(fused), "doc_id").select("rank", "doc_id", F.round("score", 6).alias("score"), "lang", "source")
 
 
-_AS_TEXT = "string_agg(doc_id, ',' ORDER BY {o})"
-
-
 @query(
     f"""WITH {_RANKED} SELECT 'ther reti' AS query, (SELECT string_agg(doc_id, ',' ORDER BY rank) FROM lex) AS lexical_hits, (SELECT string_agg(doc_id, ',' ORDER BY rank) FROM vec) AS vector_hits,
         (SELECT string_agg(doc_id, ',' ORDER BY rank) FROM ordered WHERE rank <= 8) AS fused_hits"""
@@ -177,10 +175,10 @@ def url_host_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", U.same_domain(F.col("url"), DOMAINS).alias("inside"))
 
 
-@query(f"SELECT page_id, list_filter(string_split({_PATH.replace('url', 'u')}, '/'), lambda s: starts_with(lower(s), 'v') AND regexp_matches(s, '[0-9]'))[1] AS doc_version FROM (SELECT page_id, url || '/v' || (page_id % 3) || '/x' AS u FROM pages WHERE NOT contains(url, '?') AND NOT contains(url, '#'))")
+@query(f"SELECT page_id, list_filter(string_split({_PATH.replace('url', 'u')}, '/'), lambda s: starts_with(lower(s), 'v') AND regexp_matches(s, '[0-9]'))[1] AS doc_version FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || '/v' || (page_id % 3) || '/x' AS u FROM pages)")
 def url_doc_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").filter("not contains(url, '?') and not contains(url, '#')")
-    return p.select("page_id", U.doc_version(F.concat(F.col("url"), F.lit("/v"), (F.col("page_id") % 3).cast("string"), F.lit("/x"))).alias("doc_version"))
+    u = F.concat(F.regexp_extract("url", "^([^?#]*)", 1), F.lit("/v"), (F.col("page_id") % 3).cast("string"), F.lit("/x"))
+    return read(spark, sf_dir, "pages").select("page_id", U.doc_version(u).alias("doc_version"))
 
 
 @query(f"SELECT page_id, {_PATH} AS path FROM pages UNION ALL SELECT page_id, '/w/' || page_id AS path FROM pages")
@@ -216,9 +214,9 @@ def node_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", T.node_id(F.lit("docs"), F.col("url")).alias("node_id"), root.alias("section_id"), T.chunk_id(root, F.lit(0)).alias("chunk_id"))
 
 
-@query("SELECT item_id, coalesce(nullif(trim(regexp_replace(lower(left(text, 60)), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'section') AS slug FROM benchmark")
+@query("SELECT item_id, coalesce(nullif(trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'section') AS slug FROM benchmark")
 def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "benchmark").select("item_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+    return read(spark, sf_dir, "benchmark").select("item_id", T.slugify(F.col("text")).alias("slug"))
 
 
 # --- pages
@@ -336,21 +334,23 @@ def corpus_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.documents.groupBy("doc_type", "indexed_for_retrieval").agg(F.count(F.lit(1)).alias("documents")).join(made.chunks.groupBy("doc_type").agg(F.count(F.lit(1)).alias("chunks")), "doc_type", "left")
 
 
-# --- coverage: pages as the inventory, two thirds of them crawled, some skipped
+# --- coverage: all pages are the inventory; what became of each follows from its address
 
-_INV = """inventory AS (SELECT url AS canonical_url, CASE WHEN page_id % 10 = 0 THEN 'seed' WHEN page_id % 10 < 7 THEN 'toc' ELSE 'sitemap' END AS source, (page_id % 12)::INT AS depth, (SELECT min(url) FROM pages WHERE page_id = 0) AS parent FROM pages),
-  crawled AS (SELECT CASE WHEN page_id % 25 = 0 THEN url || '-moved' ELSE url END AS canonical_url, CASE WHEN page_id % 4 = 1 THEN 'navigation' ELSE 'content' END AS doc_type, page_id % 5 <> 0 AS indexed FROM pages WHERE page_id % 3 <> 2),
-  skipped AS (SELECT url AS canonical_url, CASE WHEN page_id % 2 = 0 THEN 'outside_scope' ELSE 'duplicate' END AS reason, 'toc' AS source, 1 AS depth, (SELECT min(url) FROM pages WHERE page_id = 0) AS parent FROM pages WHERE page_id % 3 = 2 OR page_id % 7 = 0)"""
+_ROOT = "(SELECT min(url) FROM pages)"
+_INV = f"""inventory AS (SELECT url AS canonical_url, CASE WHEN url = {_ROOT} THEN 'seed' WHEN starts_with(url, 'https') THEN 'toc' ELSE 'sitemap' END AS source, (len(string_split(url, '/')) - 4)::INT AS depth, {_ROOT} AS parent FROM pages),
+  crawled AS (SELECT CASE WHEN ends_with(url, '/') THEN url || 'moved' ELSE url END AS canonical_url, CASE WHEN contains(url, '?') THEN 'navigation' ELSE 'content' END AS doc_type, contains(url, '/en/') AS indexed FROM pages WHERE NOT contains(url, 'utm_') AND NOT contains(url, '#')),
+  skipped AS (SELECT url AS canonical_url, CASE WHEN contains(url, '#') THEN 'duplicate' ELSE 'excluded_pattern' END AS reason, 'toc' AS source, 1 AS depth, {_ROOT} AS parent FROM pages WHERE contains(url, 'utm_') OR contains(url, '#') OR contains(url, 'blog.'))"""
 
 
 def _crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    p = read(spark, sf_dir, "pages").select("page_id", "url")
-    root = p.filter("page_id = 0").agg(F.min("url").alias("parent_canonical_url"))
-    p = p.crossJoin(F.broadcast(root)).withColumn("discovered_from", F.lit(None).cast("string"))  # one row
-    kind = F.when(F.col("page_id") % 10 == 0, "seed").when(F.col("page_id") % 10 < 7, "toc").otherwise("sitemap")
-    inventory = p.select(F.col("url").alias("canonical_url"), kind.alias("source"), (F.col("page_id") % 12).cast("int").alias("depth"), "parent_canonical_url", "discovered_from")
-    documents = p.filter("page_id % 3 <> 2").select(F.when(F.col("page_id") % 25 == 0, F.concat("url", F.lit("-moved"))).otherwise(F.col("url")).alias("canonical_url"), F.when(F.col("page_id") % 4 == 1, "navigation").otherwise("content").alias("doc_type"), (F.col("page_id") % 5 != 0).alias("indexed_for_retrieval"))
-    skipped = p.filter("page_id % 3 = 2 or page_id % 7 = 0").select(F.col("url").alias("canonical_url"), F.when(F.col("page_id") % 2 == 0, "outside_scope").otherwise("duplicate").alias("reason"), F.lit("toc").alias("source"), F.lit(1).alias("depth"), "parent_canonical_url", "discovered_from")
+    p = read(spark, sf_dir, "pages").select("url")
+    p = p.crossJoin(F.broadcast(p.agg(F.min("url").alias("parent_canonical_url")))).withColumn("discovered_from", F.lit(None).cast("string"))  # one row
+    has = lambda x: F.contains(F.col("url"), F.lit(x))
+    kind = F.when(F.col("url") == F.col("parent_canonical_url"), "seed").when(F.col("url").startswith("https"), "toc").otherwise("sitemap")
+    inventory = p.select(F.col("url").alias("canonical_url"), kind.alias("source"), (F.size(F.split("url", "/")) - 4).alias("depth"), "parent_canonical_url", "discovered_from")
+    moved = F.when(F.col("url").endswith("/"), F.concat("url", F.lit("moved"))).otherwise(F.col("url"))
+    documents = p.filter(~has("utm_") & ~has("#")).select(moved.alias("canonical_url"), F.when(has("?"), "navigation").otherwise("content").alias("doc_type"), has("/en/").alias("indexed_for_retrieval"))
+    skipped = p.filter(has("utm_") | has("#") | has("blog.")).select(F.col("url").alias("canonical_url"), F.when(has("#"), "duplicate").otherwise("excluded_pattern").alias("reason"), F.lit("toc").alias("source"), F.lit(1).alias("depth"), "parent_canonical_url", "discovered_from")
     return inventory, documents, skipped
 
 
@@ -483,42 +483,43 @@ def ancestor_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT sha256('docs::' || url) AS node_id, url AS canonical_url, CASE WHEN page_id % 5 = 0 THEN url ELSE 'page ' || page_id END AS title,
-         CASE WHEN page_id % 4 <> 0 THEN sha256('docs::' || (SELECT min(url) FROM pages WHERE page_id = 0)) END AS parent_node_id FROM pages"""
+    f"""SELECT sha256('docs::' || url) AS node_id, url AS canonical_url, CASE WHEN contains(url, '?') THEN url ELSE 'page ' || page_id END AS title,
+         CASE WHEN NOT contains(url, '#') THEN sha256('docs::' || {_ROOT}) END AS parent_node_id FROM pages"""
 )
 def discovered_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "pages").select("page_id", "url")
-    root = p.filter("page_id = 0").agg(F.min("url").alias("root"))
-    parent = F.when(F.col("page_id") % 4 == 0, F.lit("https://elsewhere.example/")).otherwise(F.col("root"))
-    inv = p.crossJoin(F.broadcast(root)).select(  # one row
+    parent = F.when(F.contains("url", F.lit("#")), F.lit("https://elsewhere.example/")).otherwise(F.col("root"))
+    inv = p.crossJoin(F.broadcast(p.agg(F.min("url").alias("root")))).select(  # one row
         F.lit("docs").alias("collection"), "url", F.col("url").alias("canonical_url"), F.lit("toc").alias("source"), F.lit(1).alias("depth"), F.lit(None).cast("string").alias("discovered_from"), parent.alias("parent_canonical_url"),
-        F.when(F.col("page_id") % 5 == 0, "").otherwise(F.concat(F.lit("page "), F.col("page_id").cast("string"))).alias("link_text"), F.lit(1).alias("toc_level"), F.col("page_id").cast("int").alias("toc_order"), F.lit(None).cast("string").alias("doc_version"))
+        F.when(F.contains("url", F.lit("?")), "").otherwise(F.concat(F.lit("page "), F.col("page_id").cast("string"))).alias("link_text"), F.lit(1).alias("toc_level"), F.col("page_id").cast("int").alias("toc_order"), F.lit(None).cast("string").alias("doc_version"))
     return graph.build_nodes(inv).select("node_id", "canonical_url", "title", "parent_node_id")
 
 
 # --- tables
 
 
-def _batch(spark: SparkSession, sf_dir: str, rest: int) -> DataFrame:
-    return read(spark, sf_dir, "documents").filter(F.col("doc_id") % 3 != rest).select("doc_id", F.concat(F.lit(f"b{rest}-"), F.col("source")).alias("source"))
+def _batch(spark: SparkSession, sf_dir: str, name: str, without: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").filter(F.col("lang") != without).select("doc_id", F.concat(F.lit(f"{name}-"), F.col("source")).alias("source"))
 
 
 @query(
-    """WITH old AS (SELECT doc_id, 'b0-' || source AS source FROM documents WHERE doc_id % 3 <> 0), new AS (SELECT doc_id, 'b1-' || source AS source FROM documents WHERE doc_id % 3 <> 1)
+    """WITH old AS (SELECT doc_id, 'old-' || source AS source FROM documents WHERE lang <> 'fr'), new AS (SELECT doc_id, 'new-' || source AS source FROM documents WHERE lang <> 'en')
        SELECT * FROM new UNION ALL SELECT * FROM old WHERE doc_id NOT IN (SELECT doc_id FROM new)"""
 )
 def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    twice = _batch(spark, sf_dir, 1).withColumn("n", F.lit(2)).unionByName(_batch(spark, sf_dir, 1).select("doc_id", F.lit("first").alias("source"), F.lit(1).alias("n")))
-    return store.upserted(_batch(spark, sf_dir, 0), twice, ["doc_id"], "n")
+    """Everything but French is stored; everything but English comes, each row twice, of which the last counts."""
+    new = _batch(spark, sf_dir, "new", "en")
+    twice = new.withColumn("n", F.lit(2)).unionByName(new.select("doc_id", F.lit("first").alias("source"), F.lit(1).alias("n")))
+    return store.upserted(_batch(spark, sf_dir, "old", "fr"), twice, ["doc_id"], "n")
 
 
 @query(
-    """SELECT doc_id, k::INT AS k, 'new' AS v FROM documents, (VALUES (0), (1)) AS x(k) WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, k::INT, 'old' FROM documents, (VALUES (0), (1), (2)) AS x(k) WHERE doc_id % 3 <> 0"""
+    """SELECT doc_id, k::INT AS k, 'new' AS v FROM documents, (VALUES (0), (1)) AS x(k) WHERE lang = 'en' UNION ALL SELECT doc_id, k::INT, 'old' FROM documents, (VALUES (0), (1), (2)) AS x(k) WHERE lang <> 'en'"""
 )
 def replace_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").select("doc_id")
+    d = read(spark, sf_dir, "documents").select("doc_id", "lang")
     old = d.select("doc_id", F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("k"), F.lit("old").alias("v"))
-    new = d.filter("doc_id % 3 = 0").select("doc_id", F.explode(F.array(*map(F.lit, (0, 1)))).alias("k"), F.lit("new").alias("v"))
+    new = d.filter("lang = 'en'").select("doc_id", F.explode(F.array(*map(F.lit, (0, 1)))).alias("k"), F.lit("new").alias("v"))
     return store.replaced(old, new, ["doc_id"])
 
 
@@ -549,28 +550,37 @@ def grouped_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- evaluation
 
-_EVAL = """hits AS (SELECT b.item_id, EXISTS (SELECT 1 FROM documents d WHERE d.source = 'src' || (b.item_id % 25) AND d.lang = 'en') AS hit FROM benchmark b)"""
+_SHINGLES = "SELECT DISTINCT {i} AS i, array_to_string(w[k:k + 7], ' ') AS s FROM (SELECT {i}, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT {i}, string_split(text, ' ') AS w FROM {t}))"
+_EVAL = f"""hits AS (SELECT item_id, item_id IN (SELECT b.i FROM ({_SHINGLES.format(i='item_id', t='benchmark')}) b JOIN ({_SHINGLES.format(i='doc_id', t='documents')}) d USING (s)) AS hit FROM benchmark)"""
 
 
 @query(f"WITH {_EVAL} SELECT count(*) AS queries, round(coalesce(avg(hit::INT::DOUBLE), 0), 6) AS hit_rate, round(coalesce(avg(hit::INT::DOUBLE), 0), 6) AS recall_at_k FROM hits")
 def eval_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each item expects a source; what is found for it is the English documents' source of that name."""
-    b = read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("query"), F.concat(F.lit("src"), (F.col("item_id") % 25).cast("string")).alias("want"))
-    found = b.join(read(spark, sf_dir, "documents").filter("lang = 'en'").select(F.col("source").alias("want")).distinct(), "want").select("query", F.col("want").alias("canonical_url"))
-    out = evaluate.hit_rate(evaluate.query_hits(found, b.select("query", F.array("want").alias("expected_urls"))))
+    """Benchmark items as queries; documents that share eight consecutive words with an item are expected, and those
+    found by the words' hashes are retrieved."""
+    window = "transform(sequence(1, greatest(size(w) - 7, 0)), k -> concat_ws(' ', slice(w, k, 8)))"
+
+    def shingles(table: str, ident: str) -> DataFrame:
+        d = read(spark, sf_dir, table).select(F.col(ident).cast("string").alias(ident), F.split("text", " ").alias("w")).filter("size(w) >= 8")
+        return d.select(ident, F.explode(F.array_distinct(F.expr(window))).alias("s"))
+
+    items = shingles("benchmark", "item_id")
+    found = shingles("documents", "doc_id").join(items, "s").select(F.col("item_id").alias("query"), F.col("doc_id").alias("canonical_url")).distinct()
+    expected = read(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("query")).join(found.groupBy("query").agg(F.collect_set("canonical_url").alias("expected_urls")), "query", "left")
+    out = evaluate.hit_rate(evaluate.query_hits(found, expected))
     return out.select("queries", F.round("hit_rate", 6).alias("hit_rate"), F.round("recall_at_k", 6).alias("recall_at_k"))
 
 
 # --- crawls that go on
 
-_VERSIONS = """old AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id % 5 <> 0), new AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN sha256(text || '!') ELSE sha256(text) END AS h FROM documents WHERE doc_id % 4 <> 0),
+_VERSIONS = """old AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE lang <> 'es'), new AS (SELECT doc_id, CASE WHEN source = 'src1' THEN sha256(text || '!') ELSE sha256(text) END AS h FROM documents WHERE lang <> 'de'),
   kinds AS (SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'gone' WHEN o.h = n.h THEN 'unchanged' ELSE 'changed' END AS change_kind FROM old o FULL JOIN new n ON o.doc_id = n.doc_id)"""
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     d = read(spark, sf_dir, "documents")
-    changed = F.when(F.col("doc_id") % 7 == 0, F.sha2(F.concat("text", F.lit("!")), 256)).otherwise(F.sha2("text", 256))
-    return d.filter("doc_id % 5 <> 0").select("doc_id", F.sha2("text", 256).alias("h")), d.filter("doc_id % 4 <> 0").select("doc_id", changed.alias("h"))
+    changed = F.when(F.col("source") == "src1", F.sha2(F.concat("text", F.lit("!")), 256)).otherwise(F.sha2("text", 256))
+    return d.filter("lang <> 'es'").select("doc_id", F.sha2("text", 256).alias("h")), d.filter("lang <> 'de'").select("doc_id", changed.alias("h"))
 
 
 @query(f"WITH {_VERSIONS} SELECT * FROM kinds")
