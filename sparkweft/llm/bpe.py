@@ -28,16 +28,46 @@ from pyspark.sql import functions as F
 
 NONE = 1 << 60
 _AT, _WIDE = 32, 16
-#: Any of this, and a text's spaces are not the only places between pieces.
-ODD_SPACE = re.compile("^\\s|\\s\\s|\\s$|[^\\S \n]|\x85")
+#: White space besides the space and the line end, in any version of Unicode's tables.
+OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 
 
-def pieces(text: str) -> list[str] | None:
-    """text cut before each space and line end (which stay at their piece's front), None if that isn't safe."""
-    if ODD_SPACE.search(text):
+def odd_space(text: str) -> bool:
+    """Whether spaces and line ends are not the only white space, or do not each stand alone between other characters."""
+    return not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or OTHER_SPACE.search(text) is not None
+
+
+def pieces(text: str) -> tuple[str, list[str]] | None:
+    """What is before the first space or line end, and the pieces after each: a space is taken off, a line end stays
+    at its piece's front. None if cutting there isn't safe."""
+    if odd_space(text):
         return None
     first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *(x if x[0] == "\n" else " " + x for x in rest)]
+    return first, rest
+
+
+def whole(piece: str) -> str:
+    """A piece as it stands in the text."""
+    return piece if piece[0] == "\n" else " " + piece
+
+
+def merge_node(part: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a pre-token whose tree is one node: its leaves lie close together, its minimum is read off them."""
+    get = ranks.get
+    parts = [part[i : i + 1] for i in range(len(part))]
+    leaves = [get(part[i : i + 2], NONE) for i in range(len(part) - 1)]
+    while leaves:
+        low = min(leaves)
+        if low == NONE:
+            break
+        i = leaves.index(low)
+        joined = parts[i] = parts[i] + parts.pop(i + 1)
+        del leaves[i]
+        if i < len(leaves):
+            leaves[i] = get(joined + parts[i + 1], NONE)
+        if i:
+            leaves[i - 1] = get(parts[i - 1] + joined, NONE)
+    return [ranks[p] for p in parts]
 
 
 def merge(part: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -45,6 +75,8 @@ def merge(part: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(part)
     if part in ranks:
         return [ranks[part]]
+    if n <= _WIDE + 1:
+        return merge_node(part, ranks)
     get = ranks.get
     after = list(range(1, n + 2))  # where the part that starts here ends
     before = list(range(-1, n))
@@ -118,16 +150,20 @@ class Memory(dict):
 class Codec:
     """Encodes and decodes by a table of ranks; remembers the ids of up to `most` pieces."""
 
-    def __init__(self, path: str, pattern: str, most: int = 250_000):
+    def __init__(self, path: str, pattern: str, most: int = 400_000):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.tokens = {i: b for b, i in self.ranks.items()}
+        self.names = {i: str(i) for i in self.tokens}
         self.find = regex.compile(pattern).findall
         self.words = Memory(lambda x: merge(x.encode("utf-8"), self.ranks), most)
         self.known = Memory(self.piece, most)
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, piece: str) -> list[int]:
         """Ids of a piece, each match of the pattern by itself."""
+        return self.matches(whole(piece))
+
+    def matches(self, text: str) -> list[int]:
         found = self.find(text)
         words = self.words
         return words[found[0]] if len(found) == 1 else [i for x in found for i in words[x]]
@@ -135,10 +171,9 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         """Ids of a text; the lists of pieces are shared, so they are never changed."""
         cut = pieces(text)
-        if cut is not None:
-            return [*chain.from_iterable(map(self.known.__getitem__, cut))]
-        words = self.words
-        return [i for x in self.find(text) for i in words[x]]
+        if cut is None:
+            return self.matches(text)
+        return [*self.matches(cut[0]), *chain.from_iterable(map(self.known.__getitem__, cut[1]))]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -175,7 +210,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
             for text in b["text"]:
                 ids = c.encode(text.as_py() or "")
                 n.append(len(ids))
-                of_ids.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                of_ids.append(hashlib.sha256(" ".join(map(c.names.__getitem__, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.record_batch({"id": b["id"], "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_bytes, pa.string())})
 

@@ -18,10 +18,13 @@ each for itself; an empty table gives an empty result; columns other than id and
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,10 +33,40 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.bpe import pieces
+from sparkweft.llm.bpe import pieces, whole
 from sparkweft.llm.common import materialise
 
 SIZE, SLACK, GROUP_ITEMS, BLOCK = 2048, 8, 15_000, 50_000
+_TOGETHER = 32  # texts whose new pieces are encoded in one call
+
+
+#: Fixed value: where byte-level tokenizers of this family cut.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Pieces of characters that every version of Unicode's tables has in the same class, and no added token's mark.
+_PLAIN = re.compile("[ \n][!-;=-~\xa1-\xac\xae-\u024f]+")
+
+
+@lru_cache(maxsize=2)
+def ranked(path: str):
+    """(an encoder by ranks with the same ids, bytes of each id) for a byte-level BPE file whose merges are in the order of their ids and that changes nothing before; else (None, None)."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", ())]
+    vocab = model["vocab"]
+    first = len(vocab) - len(merges) - len({t["content"] for t in spec.get("added_tokens", ())} & vocab.keys())
+    if spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) or first != 256 or any(vocab.get(a + b) != first + k for k, (a, b) in enumerate(merges)):
+        return None, None
+    # Bytes that are no printable character stand in the file as characters from 256 on.
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+    added = {t["content"] for t in spec.get("added_tokens", ())}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in added}
+    sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+    sizes[list(ranks.values())] = [len(b) for b in ranks]
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
 class Encoder:
@@ -45,20 +78,37 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.known, self.older = most, {}, {}
+        self.ranked, self.sizes = ranked(path)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_pieces(self, texts: list[str]) -> list[bytes]:
+        """As _encode; plain pieces as one text (there is a cut between them) by ranks, tokens going back to pieces by their bytes."""
+        plain = [t for t in texts if _PLAIN.fullmatch(t)] if self.ranked else []
+        if not plain:
+            return self._encode(texts)
+        ids = np.array(self.ranked.encode_ordinary("".join(plain)), np.int64)
+        ends = np.cumsum([len(t.encode("utf-8")) for t in plain])
+        at = np.cumsum(self.sizes[ids])
+        cuts = np.searchsorted(at, ends)
+        if not (at[cuts] == ends).all():
+            return self._encode(texts)
+        data, edges = ids.astype("<u4").tobytes(), [0, *(4 * cuts + 4).tolist()]
+        found = dict(zip(plain, (data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)), strict=True))
+        others = [t for t in texts if t not in found]
+        found.update(zip(others, self._encode(others) if others else [], strict=True))
+        return [found[t] for t in texts]
+
     def of(self, texts: list[str]) -> Iterator[bytes]:
         """Pieces between which the tokenizer always cuts are encoded once; odd white space goes the plain way, as whole text."""
-        for text in texts:
-            cut = pieces(text)
-            if cut is None:
-                yield self._encode([text])[0]
-                continue
-            if not self.known.keys() >= (wanted := set(cut)):
-                self._learn(wanted)
-            yield b"".join(map(self.known.__getitem__, cut))
+        for at in range(0, len(texts), _TOGETHER):
+            part = texts[at : at + _TOGETHER]
+            cuts = [pieces(t) for t in part]
+            self._learn(set(chain.from_iterable(c[1] for c in cuts if c is not None)))
+            heads = iter(self._encode([t if c is None else c[0] for t, c in zip(part, cuts, strict=True)]))
+            for head, c in zip(heads, cuts, strict=True):
+                yield head if c is None else b"".join([head, *map(self.known.__getitem__, c[1])])
 
     def _learn(self, wanted: set[str]) -> None:
         """Puts all of wanted among the known; when those are many, they become the older ones first."""
@@ -69,7 +119,7 @@ class Encoder:
         known.update((x, older[x]) for x in missing if x in older)
         new = [x for x in missing if x not in older]
         if new:
-            known.update(zip(new, self._encode(new), strict=True))
+            known.update(zip(new, self._encode_pieces([*map(whole, new)]), strict=True))
 
 
 @lru_cache(maxsize=2)
