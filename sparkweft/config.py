@@ -91,6 +91,13 @@ def collection_name(url: str) -> str:
     return re.sub("[^a-z0-9]+", "-", f"{parts.netloc}-{parts.path}".lower()).strip("-") or "default-collection"
 
 
+def data_paths(root: str, collection: str) -> dict[str, str]:
+    """Where a collection's files are, below a folder of any file system."""
+    base = f"{root.rstrip('/')}/{collection}"
+    raw = {n: f"{base}/raw/{n}.jsonl" for n in ("inventory", "skipped_urls", "discovered_nodes")} | {"link_tree": f"{base}/raw/link_tree.json", "discovery_report": f"{base}/raw/discovery_report.json"}
+    return raw | {n: f"{base}/processed/{n}.jsonl" for n in ("documents", "sections", "chunks")} | {"coverage": f"{base}/processed/coverage.json"}
+
+
 def configure_logging(level: str = "INFO") -> logging.Logger:
     """The library's logger at a level given by name; an unknown name raises ValueError."""
     number = logging.getLevelNamesMapping().get(level.upper())

@@ -25,6 +25,12 @@ class Corpus(NamedTuple):
     errors: DataFrame
 
 
+def stats(corpus: Corpus) -> dict[str, int]:
+    """Rows of each table, and pages by kind, in one job a table."""
+    docs = corpus.documents.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("doc_type") == "navigation").alias("navigation_documents"), F.count_if("indexed_for_retrieval").alias("indexed_documents")).first().asDict()
+    return {**docs, **{n: getattr(corpus, n).count() for n in ("sections", "chunks", "errors")}}
+
+
 def build(inventory: DataFrame, fetched: DataFrame, config: Config, embedder: Embedder | None = None) -> Corpus:
     """inventory: collection, canonical_url, url. fetched: url, html, status, error. Pages without html are in errors.
 

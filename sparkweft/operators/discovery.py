@@ -11,12 +11,13 @@ from __future__ import annotations
 import time
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkweft.config import Config
 from sparkweft.functions.url import canonicalize_url, doc_version, percent_decode, scope_reason
 from sparkweft.session import cut_lineage
+from sparkweft.sources.web import allowed_by_robots, parse_robots, sitemap_urls
 
 QUEUE = "pos long, url string, canonical_url string, source string, depth int, discovered_from string, parent_canonical_url string, link_text string, toc_level int, toc_order int"
 _CARRIED = ["url", "canonical_url", "source", "depth", "discovered_from", "parent_canonical_url", "link_text", "toc_level", "toc_order"]
@@ -30,6 +31,23 @@ class Discovery(NamedTuple):
     failures: int
 
 
+def starting(config: Config, spark: SparkSession, robots: str | None = None, robots_ok: bool = True, sitemaps: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(url, source, ord of the root and of the pages its sitemaps name, in order; those that robots rules block, as skips).
+
+    robots: the text of robots.txt, None if it could not be had. sitemaps: url, html of sitemaps that can be fetched.
+    """
+    root = spark.createDataFrame([(config.root_url, "seed", -1)], "url string, source string, ord long")
+    none = spark.createDataFrame([], QUEUE.partition(", ")[2] + ", reason string")
+    if sitemaps is None:
+        return root, none
+    named = list(dict.fromkeys([*config.sitemap_urls, *parse_robots(robots, config.root_url, robots_ok)[1]]))
+    found = sitemap_urls(spark.createDataFrame([(u,) for u in named], "url string"), sitemaps)
+    judged_ = cut_lineage(placed(allowed_by_robots(found, robots, config.root_url, config.user_agent, robots_ok), "url").withColumnRenamed("pos", "ord"))
+    start = root.unionByName(judged_.filter("allowed").select("url", F.lit("sitemap").alias("source"), "ord"))
+    blocked = judged_.filter("not allowed").select("url", canonicalize_url("url").alias("canonical_url"), F.lit("sitemap").alias("source"), F.lit(0).alias("depth"), F.lit("blocked_by_robots").alias("reason"))
+    return start, none.unionByName(blocked, allowMissingColumns=True)
+
+
 def placed(rows: DataFrame, *order) -> DataFrame:
     """rows with pos, a number that rises with the order (not gapless); block: its upper bits."""
     return rows.orderBy(*order).withColumn("pos", F.monotonically_increasing_id())
@@ -49,11 +67,14 @@ def running(rows: DataFrame, sums: dict[str, Column], bits: int = 33) -> DataFra
     return d.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_o{n}") for n, c in sums.items()}).drop("_block", *(f"_o{n}" for n in sums))
 
 
-def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Config) -> DataFrame:
+def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Config, robots: str | None = None) -> DataFrame:
     """wave with fetched (its bytes, null if it cannot be) and outcome: record, duplicate, fetch_error or a scope rule."""
     reason = scope_reason(percent_decode("canonical_url"), list(config.allowed_domains), list(config.allowed_path_prefixes), list(config.include_patterns), list(config.exclude_patterns))
     sizes = pages.select(F.col("url").alias("_url"), F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("_bytes")).dropDuplicates(["_url"])
-    d = wave.withColumn("_reason", F.when(F.col("source") == "seed", "allowed").otherwise(reason)).join(sizes, F.col("url") == F.col("_url"), "left").drop("_url")
+    if config.respect_robots_for_toc and robots is not None:
+        wave = allowed_by_robots(wave, robots, config.root_url, config.user_agent)
+        reason = F.when((reason == "allowed") & ~F.col("allowed"), "blocked_by_robots").otherwise(reason)
+    d = wave.withColumn("_reason", F.when(F.col("source") == "seed", "allowed").otherwise(reason)).drop("allowed").join(sizes, F.col("url") == F.col("_url"), "left").drop("_url")
     if seen is None:
         d = d.withColumn("_seen", F.lit(False))
     else:
@@ -66,9 +87,9 @@ def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Co
     return d.withColumn("outcome", outcome).drop("_reason", "_seen", "_first").withColumnRenamed("_bytes", "fetched")
 
 
-def discover(start: DataFrame, pages: DataFrame, toc: DataFrame, config: Config) -> Discovery:
+def discover(start: DataFrame, pages: DataFrame, toc: DataFrame, config: Config, robots: str | None = None) -> Discovery:
     """start: url, source (seed or sitemap, in order by `ord`). pages: url, html of what can be fetched. toc: parent (url),
-    url, text, level, ord of the entries of pages."""
+    url, text, level, ord of the entries of pages. robots: rules for all links if the settings want them there."""
     began = time.monotonic()
     wave = placed(start.select(F.col("url"), canonicalize_url("url").alias("canonical_url"), "source", F.lit(0).alias("depth"), *(F.lit(None).cast(t).alias(n) for n, t in (("discovered_from", "string"), ("parent_canonical_url", "string"), ("link_text", "string"), ("toc_level", "int"), ("toc_order", "int"))), "ord"), "ord").drop("ord")
     records, skips, seen, reason = [], [], None, "completed"
@@ -78,7 +99,7 @@ def discover(start: DataFrame, pages: DataFrame, toc: DataFrame, config: Config)
         wave = cut_lineage(wave)
         if not wave.limit(1).count():
             break
-        d = judged(wave, pages, seen, config)
+        d = judged(wave, pages, seen, config, robots)
         stop = None
         if config.max_runtime_minutes > 0 and time.monotonic() - began >= 60 * config.max_runtime_minutes:
             stop, cut = "guard_rail_runtime", -1

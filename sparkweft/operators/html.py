@@ -125,9 +125,15 @@ class Page(HTMLParser):
             text = markdown = " ".join(self.everything)
         return title, text, markdown
 
-    def toc(self, base_url: str) -> list[dict]:
-        """Links below the selected nodes, selector by selector; of an absolute URL the first."""
+    def toc(self, base_url: str, whole_page_below: int = 0) -> list[dict]:
+        """Links below the selected nodes, selector by selector; of an absolute URL the first. With fewer entries than
+        whole_page_below (5 is usual for rendered pages) the page's other links follow; script links never count then."""
         placed = sorted(((s, n, k, level) for k, a in enumerate(self.links) if a["href"] for s, n, level in a["within"]))
+        if whole_page_below:
+            runs = [k for k, a in enumerate(self.links) if a["href"].strip().lower().startswith("javascript:")]
+            placed = [x for x in placed if x[2] not in set(runs)]
+            if len(placed) < whole_page_below:
+                placed += [(len(self.selectors), 0, k, 0) for k, a in enumerate(self.links) if a["href"] and k not in set(runs)]
         out: dict[str, dict] = {}
         for _, _, k, level in placed:
             a = self.links[k]
@@ -151,12 +157,12 @@ def dom_counts(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([{**p.counts, "anchor_chars": p.anchor_chars} for p in pages], columns=["anchors", "anchor_chars", "paragraphs", "headings", "list_items"])
 
 
-def toc_entries(html: Column, base_url: Column, selectors: Sequence[str] = TOC_SELECTORS) -> Column:
+def toc_entries(html: Column, base_url: Column, selectors: Sequence[str] = TOC_SELECTORS, whole_page_below: int = 0) -> Column:
     """array of (url, text, level, ord)."""
 
     @F.pandas_udf("array<struct<url: string, text: string, level: int, ord: int>>")
     def entries(pages: pd.Series, bases: pd.Series) -> pd.Series:
-        return pd.Series([Page(h or "", selectors).toc(b or "") for h, b in zip(pages, bases, strict=True)], dtype=object)
+        return pd.Series([Page(h or "", selectors).toc(b or "", whole_page_below) for h, b in zip(pages, bases, strict=True)], dtype=object)
 
     return entries(html, base_url)
 

@@ -83,6 +83,12 @@ def test_toc_entries_keep_the_first_and_their_depth():
     assert [(e["url"], e["level"], e["ord"]) for e in found] == [("https://e.com/d/c", 1, 0), ("https://e.com/d/a", 2, 1), ("https://e.com/d/b#x", 3, 2)]
 
 
+def test_toc_of_a_rendered_page():
+    html = "<nav><a href='a'>A</a><a href='javascript:x()'>X</a></nav><p><a href='b'>B</a></p>"
+    assert [e["url"] for e in Page(html, ["nav"]).toc("https://e.com/")] == ["https://e.com/a", "javascript:x()"]
+    assert [(e["url"], e["level"]) for e in Page(html, ["nav"]).toc("https://e.com/", 5)] == [("https://e.com/a", 1), ("https://e.com/b", 1)]
+
+
 @pytest.mark.parametrize(
     ("url", "want"),
     [

@@ -103,6 +103,18 @@ def test_discovery(spark):
     assert discovery.discovery_metrics(found.inventory, config).first().max_depth_discovered == 2
 
 
+def test_start_from_sitemaps_and_robots(spark):
+    start, pages, toc = _site(spark)
+    maps = spark.createDataFrame([("https://docs.example.com/sitemap.xml", f"<urlset><url><loc>{M}/page-b</loc></url><url><loc>{M}/page-c</loc></url></urlset>")], "url string, html string")
+    rules = "User-agent: *\nDisallow: /manual/page-c"
+    config = Config(root_url=f"{M}/", collection="m", allowed_domains=("docs.example.com",), respect_robots_for_toc=True)
+    first, blocked = discovery.starting(config, spark, rules, True, maps)
+    assert [(r.url, r.source) for r in first.orderBy("ord").collect()] == [(f"{M}/", "seed"), (f"{M}/page-b", "sitemap")]
+    assert [(r.canonical_url, r.reason) for r in blocked.collect()] == [(f"{M}/page-c", "blocked_by_robots")]
+    found = discovery.discover(first, pages, toc, config, rules)
+    assert _urls(found) == ["", "/page-b", "/page-a"] and {r.reason for r in found.skipped.collect()} == {"duplicate", "blocked_by_robots"}
+
+
 def test_discovery_skips(spark):
     start, pages, toc = _site(spark)
     more = spark.createDataFrame([(f"{M}/page-b", f"{M}/page-a#x", "t", 1, 0), (f"{M}/page-b", "https://other.org/", "t", 1, 1), (f"{M}/page-b", f"{M}/gone", "t", 1, 2)], toc.schema)
