@@ -136,7 +136,7 @@ def given_labels(tree: Tree) -> list[int]:
 class Model:
     """Weights of features and edges, learned from labelled pages."""
 
-    def __init__(self, pages: int = 700, seed: int = 3, rounds: int = 150, ridge: float = 1e-5, rate: float = 0.15):
+    def __init__(self, pages: int = 1000, seed: int = 3, rounds: int = 160, ridge: float = 1e-5, rate: float = 0.3):
         trees = [parse(p) for p in labelled_pages(pages, seed)]
         self.index: dict[str, int] = {}
         forest = Forest(trees, self.index, grow=True)
