@@ -9,6 +9,7 @@ within blocks of the order, plus the blocks' offsets). Every wave is checkpointe
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkweft.config import Config
 from sparkweft.functions.url import canonicalize_url, doc_version, percent_decode, scope_reason
+from sparkweft.operators.html import toc_entries
 from sparkweft.session import cut_lineage
 from sparkweft.sources.web import allowed_by_robots, parse_robots, sitemap_urls
 
@@ -67,10 +69,20 @@ def running(rows: DataFrame, sums: dict[str, Column], bits: int = 33) -> DataFra
     return d.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_o{n}") for n, c in sums.items()}).drop("_block", *(f"_o{n}" for n in sums))
 
 
+def _reason(config: Config) -> Column:
+    return scope_reason(percent_decode("canonical_url"), list(config.allowed_domains), list(config.allowed_path_prefixes), list(config.include_patterns), list(config.exclude_patterns))
+
+
+def links_of(fetched: DataFrame, config: Config) -> DataFrame:
+    """parent, url, text, level, ord of the tables of contents of fetched pages (url, final_url, html)."""
+    entries = toc_entries(F.col("html"), F.coalesce("final_url", "url"), config.toc_selectors)
+    return fetched.filter("html is not null").select(F.col("url").alias("parent"), F.explode(entries).alias("e")).select("parent", "e.*")
+
+
 def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Config, robots: str | None = None) -> DataFrame:
     """wave with fetched (its bytes, null if it cannot be) and outcome: record, duplicate, fetch_error or a scope rule."""
-    reason = scope_reason(percent_decode("canonical_url"), list(config.allowed_domains), list(config.allowed_path_prefixes), list(config.include_patterns), list(config.exclude_patterns))
-    sizes = pages.select(F.col("url").alias("_url"), F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("_bytes")).dropDuplicates(["_url"])
+    reason = _reason(config)
+    sizes = pages.filter("html is not null").select(F.col("url").alias("_url"), F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("_bytes")).dropDuplicates(["_url"])
     if config.respect_robots_for_toc and robots is not None:
         wave = allowed_by_robots(wave, robots, config.root_url, config.user_agent)
         reason = F.when((reason == "allowed") & ~F.col("allowed"), "blocked_by_robots").otherwise(reason)
@@ -87,19 +99,26 @@ def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Co
     return d.withColumn("outcome", outcome).drop("_reason", "_seen", "_first").withColumnRenamed("_bytes", "fetched")
 
 
-def discover(start: DataFrame, pages: DataFrame, toc: DataFrame, config: Config, robots: str | None = None) -> Discovery:
-    """start: url, source (seed or sitemap, in order by `ord`). pages: url, html of what can be fetched. toc: parent (url),
-    url, text, level, ord of the entries of pages. robots: rules for all links if the settings want them there."""
+def discover(start: DataFrame, pages: DataFrame | Callable[[DataFrame], DataFrame], toc: DataFrame | None, config: Config, robots: str | None = None) -> Discovery:
+    """start: url, source (seed or sitemap, in order by `ord`). pages: url, html of what can be fetched, or a function that
+    fetches a frame of urls (see sources.web.fetch_table), once a wave, what is new and in scope. toc: parent (url),
+    url, text, level, ord of the entries of pages (None: read from the pages). robots: rules for all links if the settings want them there."""
     began = time.monotonic()
     wave = placed(start.select(F.col("url"), canonicalize_url("url").alias("canonical_url"), "source", F.lit(0).alias("depth"), *(F.lit(None).cast(t).alias(n) for n, t in (("discovered_from", "string"), ("parent_canonical_url", "string"), ("link_text", "string"), ("toc_level", "int"), ("toc_order", "int"))), "ord"), "ord").drop("ord")
     records, skips, seen, reason = [], [], None, "completed"
     n_records = n_failures = n_bytes = depth = 0
-    entries = toc.select(F.col("parent").alias("_parent"), F.col("url").alias("_child"), F.col("text").alias("_text"), F.col("level").alias("_level"), F.col("ord").alias("_ord"))
     while True:
         wave = cut_lineage(wave)
         if not wave.limit(1).count():
             break
-        d = judged(wave, pages, seen, config, robots)
+        if callable(pages):
+            new = wave if seen is None else wave.join(seen, "canonical_url", "left_anti")
+            here = cut_lineage(pages(new.withColumn("_reason", _reason(config)).filter("source = 'seed' or _reason = 'allowed'").select("url").distinct()))
+        else:
+            here = pages if "final_url" in pages.columns else pages.withColumn("final_url", F.col("url"))
+        links = links_of(here, config) if toc is None or callable(pages) else toc
+        entries = links.select(F.col("parent").alias("_parent"), F.col("url").alias("_child"), F.col("text").alias("_text"), F.col("level").alias("_level"), F.col("ord").alias("_ord"))
+        d = judged(wave, here, seen, config, robots)
         stop = None
         if config.max_runtime_minutes > 0 and time.monotonic() - began >= 60 * config.max_runtime_minutes:
             stop, cut = "guard_rail_runtime", -1

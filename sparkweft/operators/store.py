@@ -108,6 +108,11 @@ class Warehouse:
             if name != "crawl_runs":
                 self.write(name, self.read(name).filter(F.col("collection") != collection))
 
+    def clear_collection_content(self, collection: str) -> None:
+        """Documents, sections and chunks of a collection, before it is indexed anew; nodes and traces stay."""
+        for name in ("chunks", "sections", "raw_documents"):
+            self.write(name, self.read(name).filter(F.col("collection") != collection))
+
     def broken_references(self) -> dict[str, int]:
         """Rows without the row they refer to, by table and reference."""
         return {f"{name}->{other}": orphans(self.read(name), self.read(other), list(keys)).count() for name, t in TABLES.items() for other, keys in t.references}

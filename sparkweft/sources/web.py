@@ -7,6 +7,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
 from typing import Protocol
 from urllib.parse import urljoin
+from urllib.request import Request, urlopen
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
@@ -27,6 +28,20 @@ class Fetcher(Protocol):
     def close(self) -> None: ...
 
 
+class UrlFetcher:
+    """Plain HTTP by the standard library, with a deadline and a user agent; pages are not rendered."""
+
+    def __init__(self, user_agent: str, timeout: float = 20.0):
+        self.headers, self.timeout = {"User-Agent": user_agent}, timeout
+
+    def get(self, url: str) -> tuple[str, int, str]:
+        with urlopen(Request(url, headers=self.headers), timeout=self.timeout) as r:
+            return r.url, r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
+
+    def close(self) -> None:
+        pass
+
+
 def fetch(urls: DataFrame, make: Callable[[], Fetcher], attempts: int = 3, backoff: float = 0.0) -> DataFrame:
     """FETCHED rows for the distinct URLs; after the last attempt the error is kept (200 characters) and html is null."""
 

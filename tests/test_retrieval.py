@@ -236,6 +236,24 @@ def test_stream(spark, tmp_path):
     assert w.read("raw_documents").count() == 1 and w.read("chunks").count() >= 1 and not any(w.broken_references().values())
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from sparkweft import cli
+
+    body = lambda t: f"<nav><a href='{M}/b'>Second</a></nav><main><h2>{t}</h2><p>" + f"How to {t} the package on a server. " * 6 + "</p><p>x</p><p>y</p></main>"
+    spark.createDataFrame([(f"{M}/", body("install")), (f"{M}/b", body("remove"))], "url string, html string").write.parquet(f"{tmp_path}/pages")
+    wh = ["--warehouse", f"file://{tmp_path}/wh", "--embedding-dimension", "32"]
+    assert cli.main(["build", "--root-url", M, "--collection", "m", "--pages", f"{tmp_path}/pages", *wh], spark) == 0
+    made = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (made["discovered"], made["documents"], made["coverage_ratio"], made["stopped_reason"]) == (2, 2, 1.0, "completed") and made["chunks"] >= 2
+    assert cli.main(["query", "--collection", "m", "--query", "remove package", *wh], spark) == 0
+    first = json.loads(capsys.readouterr().out.strip().splitlines()[0])
+    assert first["url"] == f"{M}/b" and first["path"].endswith("Second")
+    (tmp_path / "e.json").write_text(json.dumps([{"query": "install", "expected_urls": [M]}]))
+    assert cli.main(["eval", "--collection", "m", "--eval-file", f"{tmp_path}/e.json", *wh], spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["hit_rate"] == 1.0
+    assert cli.Warehouse(spark, f"file://{tmp_path}/wh").read("retrieval_traces").count() == 2
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
