@@ -38,7 +38,7 @@ def _swap(word: str, rules: dict[str, str]) -> str:
     return word
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=500_000)
 def stem(word: str) -> str:
     if len(word) <= 2 or not word.isascii() or not word.isalpha():
         return word

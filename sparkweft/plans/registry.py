@@ -15,7 +15,7 @@ from sparkweft.operators.corpus import build
 from sparkweft.operators.embed import HashingEmbedder
 from sparkweft.operators.html import dom_counts, extract_page, toc_entries
 from sparkweft.operators.sections import sectionize
-from sparkweft.session import read
+from sparkweft.session import read, spread
 from sparkweft.streaming.ingest import event_counts
 
 QUERIES, ORACLES = {}, {}
@@ -68,12 +68,12 @@ _MATCH = f"SELECT doc_id, ({' + '.join(_TF.format(t=t) for t in TERMS)})::DOUBLE
 
 @query(_MATCH)
 def lexical_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fts.and_match(read(spark, sf_dir, "documents"), TERMS, "doc_id")
+    return fts.and_match(spread(read(spark, sf_dir, "documents")), TERMS, "doc_id")
 
 
 @query(f"SELECT * FROM ({_MATCH}) ORDER BY score DESC, doc_id LIMIT 20")
 def lexical_tf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fts.and_match(read(spark, sf_dir, "documents"), TERMS, "doc_id").orderBy(F.col("score").desc(), "doc_id").limit(20)
+    return fts.and_match(spread(read(spark, sf_dir, "documents")), TERMS, "doc_id").orderBy(F.col("score").desc(), "doc_id").limit(20)
 
 
 _RANKED = f"""lex AS (SELECT doc_id, score, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 0 AS l FROM ({_MATCH}) QUALIFY rank <= 20),
@@ -115,7 +115,7 @@ def retrieval_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def hybrid_retriever(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("canonical_url"), F.col("lang").alias("section_id"), "text")
+    chunks = spread(read(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("canonical_url"), F.col("lang").alias("section_id"), "text")
     embedder = HashingEmbedder(64)
     found = retrieve.HybridRetriever(retrieve.embed_chunks(chunks, embedder), embedder).branches({1: "ther reti", 2: '"the of" or thing -ther'})[2]
     return found.select("query_id", "rank", "chunk_id", F.round("score", 6).alias("score"))
@@ -126,14 +126,14 @@ def hybrid_retriever(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lexical_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs = spread(read(spark, sf_dir, "documents"))
     found = fts.search(fts.postings(docs, "doc_id"), {1: '"th ther"', 2: "reti or edti", 3: "ther -reti"}, "doc_id")
     return found.select("query_id", "doc_id")
 
 
 @query()
 def lexical_cover_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fts.search(fts.postings(read(spark, sf_dir, "documents"), "doc_id"), {1: "ther reti", 2: "thing ther edti"}, "doc_id")
+    found = fts.search(fts.postings(spread(read(spark, sf_dir, "documents")), "doc_id"), {1: "ther reti", 2: "thing ther edti"}, "doc_id")
     return fts.ranked(found, 20, "doc_id").select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
@@ -229,7 +229,7 @@ _ANCHOR_CHARS = "coalesce(list_sum(list_transform(regexp_extract_all(html, '<a h
 
 @query(f"SELECT page_id, {', '.join(_COUNT.format(r=r) + ' AS ' + n for n, r in _COUNTS.items())} FROM pages")
 def html_feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").select("page_id", dom_counts("html").alias("d"))
+    p = spread(read(spark, sf_dir, "pages")).select("page_id", dom_counts("html").alias("d"))
     return p.select("page_id", *(F.col(f"d.{n}").alias(n) for n in _COUNTS))
 
 
@@ -264,17 +264,17 @@ def nav_filtered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", extract_page("html").alias("x")).select("page_id", "x.title", "x.text", "x.markdown")
+    return spread(read(spark, sf_dir, "pages")).select("page_id", extract_page("html").alias("x")).select("page_id", "x.title", "x.text", "x.markdown")
 
 
 @query()
 def classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").select("page_id", "html", extract_page("html").alias("x")).select("page_id", "html", F.col("x.text").alias("text"))
+    p = spread(read(spark, sf_dir, "pages")).select("page_id", "html", extract_page("html").alias("x")).select("page_id", "html", F.col("x.text").alias("text"))
     return classify(p).select("page_id", "doc_type", "quality_score", "navigation_score", "classification_signals.link_density", "classification_signals.paragraph_count")
 
 
 def _toc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").select("page_id", "url", F.explode(toc_entries(F.col("html"), F.col("url"), TOC_SELECTORS)).alias("e"))
+    p = spread(read(spark, sf_dir, "pages")).select("page_id", "url", F.explode(toc_entries(F.col("html"), F.col("url"), TOC_SELECTORS)).alias("e"))
     return p.select("page_id", F.col("url").alias("parent"), "e.*")
 
 
@@ -296,7 +296,7 @@ def toc_links_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", F.lit("docs").alias("collection"), F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("canonical_url"), F.col("text").alias("markdown_content"))
+    return spread(read(spark, sf_dir, "documents")).select("doc_id", F.lit("docs").alias("collection"), F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("canonical_url"), F.col("text").alias("markdown_content"))
 
 
 @query("""SELECT 'doc://' || doc_id AS canonical_url, sha256('doc://' || doc_id || '::root') AS section_id, 'Document' AS heading, length(trim(text, ' ' || chr(9) || chr(10) || chr(13)))::INT AS n FROM documents
@@ -329,7 +329,7 @@ def chunks_fallback_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def corpus_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").select(F.lit("docs").alias("collection"), U.canonicalize_url("url").alias("canonical_url"), "url", "html", F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))
+    p = spread(read(spark, sf_dir, "pages")).select(F.lit("docs").alias("collection"), U.canonicalize_url("url").alias("canonical_url"), "url", "html", F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))
     made = build(p, p.select("url", "html", "status", "error"), Config(root_url="https://example.com/", embedding_dimension=64))
     return made.documents.groupBy("doc_type", "indexed_for_retrieval").agg(F.count(F.lit(1)).alias("documents")).join(made.chunks.groupBy("doc_type").agg(F.count(F.lit(1)).alias("chunks")), "doc_type", "left")
 
@@ -561,7 +561,7 @@ def eval_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = "transform(sequence(1, greatest(size(w) - 7, 0)), k -> concat_ws(' ', slice(w, k, 8)))"
 
     def shingles(table: str, ident: str) -> DataFrame:
-        d = read(spark, sf_dir, table).select(F.col(ident).cast("string").alias(ident), F.split("text", " ").alias("w")).filter("size(w) >= 8")
+        d = spread(read(spark, sf_dir, table)).select(F.col(ident).cast("string").alias(ident), F.split("text", " ").alias("w")).filter("size(w) >= 8")
         return d.select(ident, F.explode(F.array_distinct(F.expr(window))).alias("s"))
 
     items = shingles("benchmark", "item_id")

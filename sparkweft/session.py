@@ -16,6 +16,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores: for costly work on few, small files. Larger inputs have more splits and stay."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df as a checkpoint in the cluster's shared folder (one of our own where none is set, as in tests)."""
     sc = df.sparkSession.sparkContext
