@@ -21,6 +21,7 @@ from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import quality_rules
 from sparkweft.llm.secrets import redact
 from sparkweft.llm.simhash import simhash_components
+from sparkweft.session import spread
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs = spread(read(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

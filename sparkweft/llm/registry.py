@@ -17,23 +17,24 @@ from sparkweft.llm.quality_rules import QUALITY_SQL, quality_rules
 from sparkweft.llm.secrets import scan
 from sparkweft.llm.simhash import simhash_components
 from sparkweft.llm.substring_dedup import substring_dedup
+from sparkweft.session import spread
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(read(spark, sf_dir, "pages"))
+    return extract(spread(read(spark, sf_dir, "pages")))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read(spark, sf_dir, "documents")).drop("key_text")
+    return exact_dedup(spread(read(spark, sf_dir, "documents"))).drop("key_text")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return quality_rules(read(spark, sf_dir, "documents")).select(*names)
+    return quality_rules(spread(read(spark, sf_dir, "documents"))).select(*names)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_components(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+    return simhash_components(spread(read(spark, sf_dir, "documents"))).select("doc_id", "fingerprint", "component_id")
 
 
 def fold(n: int, id_col: str = "doc_id") -> Column:
@@ -42,27 +43,27 @@ def fold(n: int, id_col: str = "doc_id") -> Column:
 
 
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(read(spark, sf_dir, "documents"), fold(7) != 2)
+    return lm_scores(spread(read(spark, sf_dir, "documents")), fold(7) != 2)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), fold(3) != 1)
+    return quality_scores(spread(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"), fold(3) != 1)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(read(spark, sf_dir, "documents"))
+    return substring_dedup(spread(read(spark, sf_dir, "documents")))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(read(spark, sf_dir, "documents"))
+    return scan(spread(read(spark, sf_dir, "documents")))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_digests(spread(read(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(spread(read(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
