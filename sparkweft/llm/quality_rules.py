@@ -170,9 +170,9 @@ QUALITY_SQL = f"""
 WITH words AS (
     SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 windows AS (
-    SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM words WHERE len(w) >= 3),
+    SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(w[1:len(w) - 2]) AS w1, unnest(w[2:len(w) - 1]) AS w2, unnest(w[3:len(w)]) AS w3 FROM words WHERE len(w) >= 3),
 counted AS (
-    SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS c FROM windows),
+    SELECT r, i, count(*) OVER (PARTITION BY r, w1, w2, w3) AS c FROM windows),
 covered AS (
     SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM counted, (VALUES (0), (1), (2)) AS o(k) WHERE c > 1 GROUP BY r),
 lines AS (
