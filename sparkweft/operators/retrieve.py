@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkweft.functions.vector import cosine_similarity
 from sparkweft.operators import fts
 from sparkweft.operators.embed import Embedder, embedding
-from sparkweft.session import BROADCAST_ROWS
+from sparkweft.session import BROADCAST_ROWS, cut_lineage
+
+#: Queries of a batch that are broadcast at once have at most about this many bytes (and BROADCAST_ROWS rows).
+BLOCK_BYTES = 32 << 20
 
 
 def vector_topk(chunks: DataFrame, query: list[float], k: int = 20, id_col: str = "chunk_id", vector_col: str = "embedding", assume_normalized: bool = False) -> DataFrame:
@@ -22,14 +27,23 @@ def vector_topk_batch(chunks: DataFrame, queries: DataFrame, k: int = 20, id_col
     """query_id, id, score, rank for queries (query_id, query_vector): every query against every row.
 
     The queries are counted before they are broadcast; each task keeps its k best of a query before the shuffle
-    (the window's group limit).
+    (the window's group limit). More than one broadcast may hold are dealt into blocks by their hash; one block after
+    the other is searched and its hits are checkpointed, so the driver never holds more than a block.
     """
-    n = queries.count()
-    if n > BROADCAST_ROWS:
-        raise ValueError(f"{n} queries at once; split them into blocks of at most {BROADCAST_ROWS}")
+    wide = F.coalesce(F.greatest(F.size("query_vector"), F.lit(0)), F.lit(0)).cast("long")
+    n, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(8 * wide + 64), F.lit(0))).first()
+    blocks = max(1, -(-n // BROADCAST_ROWS), -(-size // BLOCK_BYTES))
     rows = chunks.filter(F.col(vector_col).isNotNull()).select(id_col, vector_col)
-    scored = rows.crossJoin(F.broadcast(queries)).select("query_id", id_col, cosine_similarity(F.col(vector_col), F.col("query_vector")).alias("score"))
-    return fts.ranked(scored, k, id_col)
+
+    def best(some: DataFrame) -> DataFrame:
+        scored = rows.crossJoin(F.broadcast(some)).select("query_id", id_col, cosine_similarity(F.col(vector_col), F.col("query_vector")).alias("score"))
+        return fts.ranked(scored, k, id_col)
+
+    if blocks == 1:
+        return best(queries)
+    block = F.pmod(F.xxhash64("query_id", "query_vector"), F.lit(blocks))
+    hits = [cut_lineage(best(queries.filter(block == b))).drop("rank") for b in range(blocks)]
+    return fts.ranked(reduce(DataFrame.unionByName, hits), k, id_col)
 
 
 def reciprocal_rank_fusion(hits: DataFrame, k: int = 60, limit: int | None = 8, id_col: str = "chunk_id", by: tuple[str, ...] = ()) -> DataFrame:

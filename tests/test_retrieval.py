@@ -38,6 +38,20 @@ def test_cover_density():
     assert fts.cover_density([[(1, 1), (5, 5)]], 16) == 2.0
 
 
+def test_more_queries_than_one_broadcast_holds(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, [float(k % 7), float(k % 5), 1.0]) for k in range(60)] + [(60, None)], "vec_id int, embedding array<float>")
+    queries = spark.createDataFrame([(k // 2, [1.0, float(k), float(k % 3)]) for k in range(50)], "query_id int, query_vector array<float>")  # two of each id
+    found = lambda: sorted(tuple(r) for r in retrieve.vector_topk_batch(rows, queries, 7, "vec_id").collect())
+    whole = found()
+    cuts = []
+    monkeypatch.setattr(retrieve, "cut_lineage", lambda df, cut=getattr(retrieve, "cut_lineage", None): cuts.append(1) or cut(df), raising=False)
+    monkeypatch.setattr(retrieve, "BROADCAST_ROWS", 20)
+    assert found() == whole and len(whole) == 25 * 7 and len(cuts) == 3
+    monkeypatch.setattr(retrieve, "BROADCAST_ROWS", 200_000)
+    monkeypatch.setattr(retrieve, "BLOCK_BYTES", 1000, raising=False)
+    assert found() == whole and len(cuts) == 3 + 5
+
+
 def test_rrf(spark):
     hits = spark.createDataFrame([(0, 1, "a", 0.9), (0, 2, "b", 0.8), (1, 1, "b", 0.95), (1, 2, "c", 0.7)], "list_ix int, rank int, chunk_id string, score double")
     got = [(r.chunk_id, round(r.score, 6), r.rank) for r in retrieve.reciprocal_rank_fusion(hits).orderBy("rank").collect()]
