@@ -37,24 +37,24 @@ def link_tree(nodes: DataFrame) -> dict:
     return {"node_count": len(rows), "roots": roots}
 
 
-def ancestor_paths(nodes: DataFrame, ident: str = "node_id", parent: str = "parent_node_id", title: str = "title", most_hops: int = 64) -> DataFrame:
+def ancestor_paths(nodes: DataFrame, ident: str = "node_id", parent: str = "parent_node_id", title: str = "title") -> DataFrame:
     """id, path (titles from the root down, empty ones left out), root_title, hops.
 
     Each round doubles the distance that is known (pointer jumping), so a chain of n hops takes log n joins. A cycle
-    ends where it would meet a node again.
+    ends where it would meet a node again; nothing else bounds the length of a path.
     """
     step = nodes.select(F.col(ident).alias("id"), F.col(parent).alias("up"), F.array(F.col(title)).alias("titles"), F.array(F.col(ident)).alias("seen"))
     known = step.select(F.col("id").alias("_id"))
     state = step.join(known, F.col("up") == F.col("_id"), "left").withColumn("up", F.when(F.col("_id").isNotNull(), F.col("up"))).drop("_id")
-    reach = 1
-    while reach < most_hops:
+    while True:
         state = cut_lineage(state)
         if not state.filter("up is not null").limit(1).count():
             break
         other = state.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("titles").alias("_titles"), F.col("seen").alias("_seen"))
         joined = state.join(other, F.col("up") == F.col("_id"), "left")
         met = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_seen"), F.lit(1))), lambda k: F.array_contains("seen", F.get(F.col("_seen"), k - 1)))
-        fresh = F.coalesce(F.array_min(met) - 1, F.size("_seen"))  # nodes of the other part before the first known one
+        # The places are looked for only where the parts meet: pairwise, that costs the square of a long path.
+        fresh = F.coalesce(F.when(F.arrays_overlap("seen", "_seen"), F.array_min(met) - 1), F.size("_seen"))  # nodes of the other part before the first known one
         closed = F.col("_id").isNotNull() & (fresh < F.size("_seen"))
         state = joined.select(
             "id",
@@ -62,7 +62,6 @@ def ancestor_paths(nodes: DataFrame, ident: str = "node_id", parent: str = "pare
             F.when(F.col("_id").isNull(), F.col("titles")).otherwise(F.concat("titles", F.slice("_titles", F.lit(1), fresh))).alias("titles"),
             F.when(F.col("_id").isNull(), F.col("seen")).otherwise(F.concat("seen", F.slice("_seen", F.lit(1), fresh))).alias("seen"),
         )
-        reach *= 2
     path = F.filter(F.reverse("titles"), lambda t: t.isNotNull() & (t != ""))
     return state.select(F.col("id").alias(ident), path.alias("path"), F.element_at("titles", -1).alias("root_title"), F.size("titles").alias("hops"))
 

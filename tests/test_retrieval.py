@@ -158,6 +158,19 @@ def test_paths_end_at_cycles_and_reach_far(spark):
     assert graph.ancestor_paths(chain).filter("node_id = '40'").first().path == [str(k) for k in range(41)]
 
 
+def test_paths_of_any_length(spark):
+    """A chain of 300 nodes, and one of 150 that runs into a cycle of 100."""
+    up = F.when(F.col("id") > 0, F.col("id") - 1)
+    chain = spark.range(300).select("id", up.alias("parent"))
+    loop = spark.range(1000, 1250).select("id", F.when(F.col("id") > 1000, F.col("id") - 1).otherwise(1099).alias("parent"))
+    text = lambda c: F.col(c).cast("string")
+    nodes = chain.unionByName(loop).select(text("id").alias("node_id"), text("parent").alias("parent_node_id"), text("id").alias("title"))
+    got = {int(r.node_id): r for r in graph.ancestor_paths(nodes).collect()}
+    assert all(got[k].path == [str(j) for j in range(k + 1)] and got[k].root_title == "0" and got[k].hops == k + 1 for k in range(300))
+    assert got[1249].path == [str(j) for j in range(1000, 1250)]
+    assert got[1050].path == [str(j) for j in [*range(1051, 1100), *range(1000, 1051)]] and len(got) == 550
+
+
 def test_warehouse(spark, tmp_path):
     w = store.Warehouse(spark, f"file://{tmp_path}/wh")
     w.ensure_layout()
