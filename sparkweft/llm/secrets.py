@@ -6,7 +6,8 @@ The network sees each candidate (its start and end) and the text around it, by c
 numpy, trained once on the driver from labelled findings (a seeded generator makes them: contexts and values of
 secrets, and of what only looks like one), and sent to the tasks with its weights, some 20,000 numbers. A
 candidate's score is calibrated (Platt) and its threshold is, for each kind, the largest that keeps the wanted
-recall on findings held out from training. Accepted candidates that overlap no base finding are added.
+recall on findings held out from training. Accepted candidates are added unless base findings cover them wholly;
+those that overlap each other are added as one.
 
 Defined results: null and empty text have no findings; whole texts are scanned; rows are scanned one by one, so
 repeated rows come back repeated; an empty table gives an empty result; other columns are ignored (scan) or kept (redact).
@@ -286,7 +287,7 @@ class Scanner:
         return 1 / (1 + np.exp(-(self.slope * z.astype(np.float64) + self.shift)))
 
     def findings(self, texts: list[str]) -> list[tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]]:
-        """(base findings, all findings) of each text, as (start, kind, end); added ones overlap no other."""
+        """(base findings, all findings) of each text, as (start, kind, end); added ones do not overlap each other."""
         base, accepted = [], [[] for _ in texts]
         rows, where = [], []
 
@@ -312,19 +313,24 @@ class Scanner:
 
 
 def _apart(base: list[tuple[int, str, int]], more: list[tuple[int, int]]) -> list[tuple[int, str, int]]:
-    """Those of `more`, from the left, that overlap no base finding and none taken before."""
+    """Those of `more` that reach beyond the base findings, overlapping ones as one."""
     if not more:
         return []
-    edges, last, out = [], -1, []  # starts and ends of the base findings as disjoint stretches
+    starts, ends, out = [], [], []  # of the base findings as disjoint stretches
     for a, _, b in base:
-        if edges and a <= edges[-1]:
-            edges[-1] = max(edges[-1], b)
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    for a, b in sorted(more):
+        k = bisect_right(starts, a) - 1
+        if k >= 0 and b <= ends[k]:
+            continue
+        if out and a < out[-1][2]:
+            out[-1] = (out[-1][0], ADDED, max(b, out[-1][2]))
         else:
-            edges += [a, b]
-    for a, b in sorted(more, key=lambda x: (x[0], -x[1])):
-        if a >= last and (k := bisect_right(edges, a)) % 2 == 0 and (k == len(edges) or b <= edges[k]):
             out.append((a, ADDED, b))
-            last = b
     return out
 
 

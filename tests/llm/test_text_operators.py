@@ -150,6 +150,20 @@ def test_added_spans_overlap_nothing(scanner):
     assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
 
 
+def test_added_spans_reach_beyond_base_findings(scanner):
+    text = "we moved the host password: Sunny2024!x#9 to the new vault"
+    base, every = scanner.findings([text])[0]
+    value = (text.index("Sunny"), secrets.ADDED, text.index(" to the"))
+    assert base == [(text.index("password"), "assign", text.index("!x"))] and every == [*base, value]
+    assert secrets.redacted(text, every) == "we moved the host [secret] to the new vault"
+
+
+def test_added_spans_lose_no_accepted_character():
+    base = [(10, "assign", 30), (20, "hex", 40), (60, "hex", 84)]
+    more = [(12, 38), (15, 45), (44, 50), (50, 55), (55, 90), (61, 84)]
+    assert secrets._apart(base, more) == [(15, secrets.ADDED, 50), (50, secrets.ADDED, 55), (55, secrets.ADDED, 90)]
+
+
 def test_scan_and_redact(spark, docs, rows):
     got = {(r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in secrets.scan(docs).collect()}
     assert got == {(i, 0, 0, 0) for i, *_ in rows}
