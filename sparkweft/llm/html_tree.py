@@ -2,8 +2,10 @@
 
 Nodes are block-level elements with text below them, and leaves are blocks of text: what stands between two
 block boundaries, inline markup removed, character references decoded, white space turned into one space.
-Scripts, styles, templates, embedded frames, controls of forms, comments and the page's head have no text.
-Missing end tags are supplied as browsers do for paragraphs, list items and cells. Work is linear in the page.
+Scripts, styles, templates, embedded frames, controls of forms, drawings, what stands in for media, comments and
+the page's head have no text. Missing end tags are supplied as browsers do for paragraphs, list items and cells. An
+element without text that is not closed ends at the next one of its kind (controls) or at the end tag of a block
+around it; if blocks begin in it, or the page ends, nothing is passed over. Work is linear in the page.
 """
 
 from __future__ import annotations
@@ -15,7 +17,11 @@ from html import unescape
 #: Fixed values of HTML: elements that bound blocks, elements without text of ours, raw text, empty elements.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-SKIPPED = frozenset("template svg math object select button datalist canvas audio video map".split())
+SKIPPED = frozenset("template svg select button datalist canvas audio video".split())
+#: Start tags that end an open element of these names, which do not nest.
+_ENDS = {"button": frozenset(("button",)), "select": frozenset(("select", "input", "textarea"))}
+#: Parts of drawings that hold HTML; elsewhere in a drawing the start tag of a block ends it.
+_HTML_IN_SVG = frozenset(("foreignobject", "desc", "title"))
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What a start tag closes if it is open, up to the nearest of the second set.
 CLOSES = {"li": ("li", frozenset(("ul", "ol", "menu", "dir"))), "dt": ("dt dd", frozenset(("dl",))), "dd": ("dt dd", frozenset(("dl",))), "td": ("td th", frozenset(("tr", "table"))), "th": ("td th", frozenset(("tr", "table"))), "tr": ("tr td th", frozenset(("table",)))}
@@ -78,6 +84,10 @@ class _Builder:
         self.run: list[str] = []
         self.linked, self.link_from = 0, -1
 
+    def has(self, tag: str) -> bool:
+        """Whether an end tag of this name would close something."""
+        return any(self.tree.tag[k] == tag for k in self.open) if tag in _CELLS else self.scopes[-1][tag] > 0
+
     def flush(self) -> None:
         if self.run:
             text = " ".join("".join(self.run).split())
@@ -128,26 +138,63 @@ class _Builder:
 
     def end(self, tag: str) -> None:
         self.flush()
-        if tag in _CELLS:
-            if any(self.tree.tag[k] == tag for k in self.open):
-                while self.pop() != tag:
-                    pass
-        elif self.scopes[-1][tag] > 0 and tag != "html":
+        if self.has(tag) and tag != "html":
             while self.pop() != tag:
                 pass
 
 
+class _Skip:
+    """An element without text that is being passed over, from its start tag on."""
+
+    def __init__(self, tag: str, at: int):
+        self.tag, self.after = tag, at
+        self.starts = [at]  # ends of the start tags of this name that are open
+        self.blocks: Counter = Counter()  # open blocks in it, by name
+        self.any_block = False
+        self.html = 0  # open parts of a drawing that hold HTML
+
+    def see(self, closing: str, tag: str, bare: bool, at: int, around: _Builder) -> str:
+        """What a tag that ends at `at` does: "" nothing, "closed" its own end, "cut" ends it from outside."""
+        if tag == self.tag and closing:
+            self.starts.pop()
+            return "" if self.starts else "closed"
+        if not closing and tag in _ENDS.get(self.tag, ()):
+            return "cut"
+        if tag == self.tag:
+            if not bare:
+                self.starts.append(at)
+        elif self.tag == "svg" and tag in _HTML_IN_SVG:
+            self.html = max(0, self.html - 1) if closing else self.html + (not bare)
+        elif tag in BLOCKS and tag not in ("hr", "html", "body"):
+            if not closing:
+                if self.tag == "svg" and not self.html:
+                    return "cut"
+                self.blocks[tag] += 1
+                self.any_block = True
+            elif self.blocks[tag] > 0:
+                self.blocks[tag] -= 1
+            elif self.tag != "template" and around.has(tag):
+                return "cut"
+        return ""
+
+
 def parse(page: str) -> Tree:
     """The tree of a page; node 0 is the page itself."""
     b, at, n = _Builder(), 0, len(page)
-    skip, depth = "", 0
+    skip: _Skip | None = None
+    kept: set[int] = set()  # ends of start tags whose elements are not passed over, as nothing closes them
     no_comment_end = False
-    while at < n:
+    while at < n or skip:
+        if at >= n:  # the page ended in an element without text: go back
+            kept.update(skip.starts)
+            at, skip = skip.after, None
+            continue
         lt = page.find("<", at)
         if lt < 0 or lt == n - 1:
             if not skip:
                 b.words(page[at:])
-            break
+            at = n
+            continue
         if lt > at and not skip:
             b.words(page[at:lt])
         c = page[lt + 1]
@@ -163,17 +210,25 @@ def parse(page: str) -> Tree:
         m = _TAG.match(page, lt) or _LOOSE.match(page, lt)
         if m is None:
             if (c.isascii() and c.isalpha()) or c == "/":
-                break  # a tag that the page's end cuts off
+                at = n  # a tag that the page's end cuts off
+                continue
             if not skip:
                 b.words("<")
             at = lt + 1
             continue
         at, closing, tag, attributes = m.end(), m[1], m[2].lower(), m[3]
         if skip:
-            if tag == skip:
-                depth += -1 if closing else (not attributes.endswith("/"))
-                skip = skip if depth else ""
-            continue
+            done = skip.see(closing, tag, attributes.endswith("/"), at, b)
+            if done == "cut" and skip.any_block:
+                kept.update(skip.starts)
+                at, skip = skip.after, None
+                continue
+            if done:
+                of, skip = skip.tag, None
+                if done == "closed" or (of, tag) == ("select", "select"):
+                    continue  # browsers take the second start tag of a select for its end tag
+            elif closing or tag not in RAW or tag == "title" or attributes.endswith("/"):
+                continue  # a title in an element without text is a drawing's
         if closing:
             if tag in BLOCKS:
                 b.end(tag)
@@ -181,14 +236,13 @@ def parse(page: str) -> Tree:
                 b.link_from = -1
         elif tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.IGNORECASE).search(page, at)
-            if end is None:
-                break
-            close = page.find(">", end.end())
+            close = page.find(">", end.end()) if end else -1
             at = close + 1 if close >= 0 else n
-            b.words(" ")
+            if end and not skip:
+                b.words(" ")
         elif tag in SKIPPED:
-            if not attributes.endswith("/"):
-                skip, depth = tag, 1
+            if not attributes.endswith("/") and at not in kept:
+                skip = _Skip(tag, at)
         elif tag == "head":
             continue
         elif tag in BLOCKS:

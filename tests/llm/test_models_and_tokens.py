@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -44,6 +45,38 @@ def test_blocks_of_a_page():
     assert [x for x in t.text if x] == ["a & b", "c d", "x", "y <z w", "1", "2", "end<"]
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<header><button>Menu</header><article><p>One.</p></article>", ["One."]),
+        ("<header><select><option>A<option>B</header><p>One.", ["One."]),
+        ("<header><button>Menu<button>Search</button></header><p>One.", ["One."]),
+        ("<select><option>A<select><p>One.", ["One."]),
+        ("<div><button>Menu<article><p>One.</p></article></div><p>Two.", ["Menu", "One.", "Two."]),
+        ("<button>Menu<p>One.</p><button>Go</button><p>Two.", ["Menu", "One.", "Two."]),
+        ("<div>x<button>Menu <b>One", ["xMenu One"]),
+        ("<svg><canvas><p>One.</p><template><p>Two.", ["One.", "Two."]),
+        ("<svg><text>a</text><p>One.", ["One."]),
+        ("<div><button><div>a</div><svg><title/><path/></svg></button>One.</div>", ["One."]),
+        ("<div><template><p>a</div></template>One.</div>", ["One."]),
+        ("<div><button>a<script>'</div>'</script>b</button>One.</div>", ["One."]),
+        ("<p>The <math><mi>x</mi></math> of <object data=a>a plan</object> <map>here</map>.</p>", ["The x of a plan here."]),
+    ],
+)
+def test_elements_without_text_swallow_nothing_else(page, texts):
+    assert [t for t in html_tree.parse(page).text if t] == texts
+
+
+@pytest.mark.parametrize("part", ["<button><p>a", "<svg><desc><p>a", "<canvas><div>a", "<select><p><button><p>", "<template><video><p>a", "<div><button><p>a"])
+def test_unclosed_elements_cost_linear_time(part):
+    def seconds(n: int) -> float:
+        start = time.process_time()
+        html_tree.parse(part * n)
+        return time.process_time() - start
+
+    assert seconds(20_000) < 20 * max(seconds(2_000), 0.02)
+
+
 @given(st.lists(st.sampled_from([*"<>/!-ap =\"'& \n;", "<p>", "</p>", "<td>", "</table>", "<table>", "<tr>", "</tr>", "<!--", "<a ", "<li>", "</div>", "<div>", "<script>"]), max_size=80))
 def test_parser_never_fails(parts):
     t = html_tree.parse("".join(parts))
