@@ -15,8 +15,9 @@ A hot passage costs one row a block of a task, not one an occurrence, and no pai
 bounded by the block (about a million words, or one text) and by buckets, whose number follows the number
 of map tasks. Texts are split three times, no text is shuffled.
 
-Defined results: null text has no words; a null id comes after all others; rows that repeat an id with the same
-text count as one document, so none of them is removed for the other; an empty table gives an empty result;
+Defined results: null text has no words; a null id comes after all others, and every row with one is a document of
+its own; rows that repeat an id with the same text count as one document, so none of them is removed for the other;
+rows that repeat an id with other text are different documents; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -35,19 +36,21 @@ from pyspark.sql import functions as F
 from sparkweft.llm.arrays import bits_for, buckets, planes, split_sorted, unplanes, write_bucket
 from sparkweft.llm.common import shared_folder
 from sparkweft.llm.words import Windows, WordHashes, split_words
+from sparkweft.session import cut_lineage
 
 LENGTH, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 BLOCK_WORDS = 1_000_000
 LAST_ID = np.iinfo(np.int64).max
-_WINDOW = ["<u8", "<u4", "<i8", "<i4"]
+#: Hash, second hash, id, what tells documents of an id apart, place.
+_WINDOW = ["<u8", "<u4", "<i8", "<i8", "<i4"]
 _OTHER = 0xD6E8FEB86659FD93
 
 
 class Block:
     """The words of some texts, one after the other, with ids, bounds and hashes."""
 
-    def __init__(self, ids: list, texts: list[str | None], hashes: WordHashes):
-        self.ids = ids
+    def __init__(self, ids: list, keys: list[int], texts: list[str | None], hashes: WordHashes):
+        self.ids, self.keys = ids, keys
         self.words = [split_words(t or "") for t in texts]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.first = np.array([0, *accumulate(self.sizes.tolist())], np.int64)
@@ -60,17 +63,18 @@ class Block:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes, most: int = BLOCK_WORDS) -> Iterator[Block]:
-    ids, texts, chars = [], [], 0
+    ids, keys, texts, chars = [], [], [], 0
     for b in batches:
-        for one, text in zip(b["id"], b["text"], strict=True):
+        for one, key, text in zip(b["id"], b["key"], b["text"], strict=True):
             ids.append(one.as_py())
+            keys.append(key.as_py())
             texts.append(text.as_py())
             chars += len(texts[-1] or "")
             if chars >= 6 * most:
-                yield Block(ids, texts, hashes)
-                ids, texts, chars = [], [], 0
+                yield Block(ids, keys, texts, hashes)
+                ids, keys, texts, chars = [], [], [], 0
     if ids:
-        yield Block(ids, texts, hashes)
+        yield Block(ids, keys, texts, hashes)
 
 
 class Finder:
@@ -109,11 +113,11 @@ class Finder:
         return found, self.rolling.at(sums, self.length, found), (other >> np.uint64(32)).astype(np.uint32)
 
 
-def _keys(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id (nulls last) and place in the text of each start."""
+def _keys(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Id (nulls last), key and place in the text of each start."""
     row = np.searchsorted(block.first, starts, side="right") - 1
     ids = np.array([LAST_ID if i is None else i for i in block.ids], np.int64)
-    return ids[row], (starts - block.first[row]).astype(np.int32)
+    return ids[row], np.array(block.keys, np.int64)[row], (starts - block.first[row]).astype(np.int32)
 
 
 def store_anchors(rows: DataFrame, folder: str, bits: int, length: int, period: int, cover: tuple[int, ...]) -> int:
@@ -152,32 +156,32 @@ def store_windows(rows: DataFrame, folder: str, bits: int, length: int, period:
             starts, h, c = finder.windows(block, folder, bits)
             if not len(starts):
                 continue
-            ids, at = _keys(block, starts)
-            order = np.lexsort((at, ids, c, h))
-            h, c, ids, at = h[order], c[order], ids[order], at[order]
+            ids, keys, at = _keys(block, starts)
+            order = np.lexsort((at, keys, ids, c, h))
+            h, c, ids, keys, at = h[order], c[order], ids[order], keys[order], at[order]
             new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
-            # A row that repeats id and place is the same occurrence, not a second one.
-            again = ~new[1:] & ((ids[1:] != ids[:-1]) | (at[1:] != at[:-1]))
+            # A row that repeats id, key and place is the same occurrence, not a second one.
+            again = ~new[1:] & ((ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))
             many = np.add.reduceat(np.concatenate([[0], again]), np.flatnonzero(new)) > 0
-            h, c, ids, at = h[new], c[new], ids[new], at[new]
+            h, c, ids, keys, at = h[new], c[new], ids[new], keys[new], at[new]
             found, edges = split_sorted(h, bits)
             spans = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            columns = {"h": h, "c": c, "d": ids, "s": at, "m": many.astype(np.uint8)}
+            columns = {"h": h, "c": c, "d": ids, "k": keys, "s": at, "m": many.astype(np.uint8)}
             yield pa.record_batch({"bucket": pa.array(found, pa.int64()), **{k: pa.array([planes(v[x]) for x in spans], pa.binary()) for k, v in columns.items()}})
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h, c, ids, at, many = (np.concatenate([unplanes(x, k) for x in part[n]]) for n, k in zip("hcdsm", [*_WINDOW, "|u1"], strict=True))
-        order = np.lexsort((at, ids, c, h))
-        h, c, ids, at, many = h[order], c[order], ids[order], at[order], many[order]
+        h, c, ids, keys, at, many = (np.concatenate([unplanes(x, k) for x in part[n]]) for n, k in zip("hcdksm", [*_WINDOW, "|u1"], strict=True))
+        order = np.lexsort((at, keys, ids, c, h))
+        h, c, ids, keys, at, many = h[order], c[order], ids[order], keys[order], at[order], many[order]
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
-        again = np.concatenate([[False], ~new[1:] & ((ids[1:] != ids[:-1]) | (at[1:] != at[:-1]))]) | (many > 0)
+        again = np.concatenate([[False], ~new[1:] & ((ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))]) | (many > 0)
         heads = np.flatnonzero(new)
         keep = heads[np.add.reduceat(again.astype(np.int64), heads) > 0]
         if len(keep):
-            write_bucket(folder, f"window{int(key[0])}", [h[keep], c[keep], ids[keep], at[keep]])
+            write_bucket(folder, f"window{int(key[0])}", [h[keep], c[keep], ids[keep], keys[keep], at[keep]])
         return pd.DataFrame({"n": [len(keep)]})
 
-    done = rows.mapInArrow(run, "bucket long, h binary, c binary, d binary, s binary, m binary").groupBy("bucket").applyInPandas(merge, "n long")
+    done = rows.mapInArrow(run, "bucket long, h binary, c binary, d binary, k binary, s binary, m binary").groupBy("bucket").applyInPandas(merge, "n long")
     return done.agg(F.sum("n")).first()[0] or 0
 
 
@@ -188,9 +192,9 @@ def repeats(block: Block, finder: Finder, folder: str, bits: int) -> np.ndarray:
     if len(starts):
         order = np.argsort(h, kind="stable")
         starts, h, c = starts[order], h[order], c[order]
-        ids, at = _keys(block, starts)
+        ids, keys, at = _keys(block, starts)
         gone = np.zeros(len(h), bool)
-        for (kh, kc, kd, ks), part in buckets(folder, "window", _WINDOW).parts(h, bits):
+        for (kh, kc, kd, kk, ks), part in buckets(folder, "window", _WINDOW).parts(h, bits):
             k, left = np.searchsorted(kh, h[part]), np.arange(part.start, part.stop)
             while len(left):
                 there = k < len(kh)
@@ -198,19 +202,32 @@ def repeats(block: Block, finder: Finder, folder: str, bits: int) -> np.ndarray:
                 equal = kh[k] == h[left]
                 k, left = k[equal], left[equal]
                 found = kc[k] == c[left]
-                gone[left[found]] = (kd[k[found]] != ids[left[found]]) | (ks[k[found]] != at[left[found]])
+                gone[left[found]] = (kd[k[found]] != ids[left[found]]) | (kk[k[found]] != keys[left[found]]) | (ks[k[found]] != at[left[found]])
                 k, left = k[~found] + 1, left[~found]
         np.add.at(covered, starts[gone], 1)
         np.add.at(covered, starts[gone] + finder.length, -1)
     return np.cumsum(covered[:-1]) > 0
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """rows with key: below zero by the text's hash for a given id, from zero on a number of its own for a null id.
+
+    The numbers must be the same in every pass, so rows without an id, if there are any, are checkpointed with them.
+    """
+    by_text = F.bitwise_not(F.shiftrightunsigned(F.xxhash64("text"), 1))
+    unknown = rows.filter("id is null")
+    if unknown.select("id").isEmpty():
+        return rows.withColumn("key", by_text)
+    return rows.filter("id is not null").withColumn("key", by_text).unionByName(cut_lineage(unknown.withColumn("key", F.monotonically_increasing_id())))
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER, with_text: bool = False) -> DataFrame:
     """id, n_words, n_removed, kept_sha256 for each row, and kept_text if asked for (kept words joined by one space)."""
     if len({(a - b) % period for a in cover for b in cover}) < period or length < period:
         raise ValueError("cover must have every difference modulo period, and period must not exceed length")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = _keyed(rows)
     bits = bits_for(rows.rdd.getNumPartitions())
     folder = shared_folder(spark, "passages")
     store_anchors(rows, folder, bits, length, period, cover)

@@ -94,6 +94,17 @@ def test_substring_dedup_of_repeated_and_null_ids(spark):
     assert got == [(0, 30, 30), (1, 30, 0), (1, 30, 0), (2, 0, 0)]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_substring_dedup_tells_documents_apart(spark, parts):
+    """Rows with null ids, and rows that share an id but not the text, each lose what another has."""
+    text = " ".join(f"w{k}" for k in range(30))
+    d = frame(spark, [(None, text, "en", "s"), (None, text, "en", "s"), (None, text + " end", "en", "s"), (5, text.replace("w", "v"), "en", "s"), (5, text.replace("w", "v") + " end", "en", "s")]).repartition(parts)
+    got = sorted(((r.doc_id or 0), r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(d).collect())
+    kept_of = lambda i: sorted(30 - g if n == 30 else 31 - g for j, n, g in got if j == i)
+    assert [x[:2] for x in got] == [(0, 30), (0, 30), (0, 31), (5, 30), (5, 31)]
+    assert kept_of(0) in ([0, 0, 31], [0, 1, 30]) and kept_of(5) in ([0, 31], [1, 30])
+
+
 def _base_signals(text: str | None) -> tuple:
     t = text or ""
     w = WORD.findall(t)
