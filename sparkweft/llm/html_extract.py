@@ -5,9 +5,10 @@ unary potential (a sum of weights of its features: tag, names in class, id and r
 each edge a 2 x 2 potential by the kinds of parent and child. Sum-product messages, once upward and once
 downward, give every node's marginal exactly; blocks whose content marginal is at least one half are the text.
 
-The model is trained on the driver from labelled pages (made from a seed) by maximum conditional likelihood:
-observed less expected features, the expectation from the same messages. Messages of all pages of a batch run
-together, level by level. Tasks get the weights with their code.
+The model is trained from labelled pages (made from a seed) by maximum conditional likelihood: observed less
+expected features, the expectation from the same messages. Messages of all pages of a batch run together, level by
+level. The trained weights are kept beside this module (html_weights.npz; `python -m sparkweft.llm.html_extract`
+makes the file anew, and a test holds it against fresh training); tasks get them with their code.
 
 Defined results: null or empty html has no text; pages are read whole; rows are extracted one by one, so repeated
 rows come back repeated; an empty table gives an empty result; other columns are ignored.
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.html_pages import labelled_pages
+from sparkweft.llm.html_pages import label_of, labelled_pages
 from sparkweft.llm.html_tree import Tree, parse
 
 _KIND = {t: k for k, group in enumerate(("p pre blockquote", "h1 h2 h3 h4 h5 h6 hgroup", "li ul ol dl dd dt menu", "table tbody thead tfoot tr td th", "article main", "div section center figure details", "html body"), 2) for t in group.split()}
@@ -137,7 +139,7 @@ class Model:
     """Weights of features and edges, learned from labelled pages."""
 
     def __init__(self, pages: int = 1000, seed: int = 3, rounds: int = 160, ridge: float = 1e-5, rate: float = 0.3):
-        trees = [parse(p) for p in labelled_pages(pages, seed)]
+        trees = [parse(p, label_of) for p in labelled_pages(pages, seed)]
         self.index: dict[str, int] = {}
         forest = Forest(trees, self.index, grow=True)
         y = np.concatenate([given_labels(t) for t in trees]).astype(np.float64)
@@ -154,6 +156,16 @@ class Model:
             w += rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-6)
         self.unary, self.pair = w[:k], w[k:].reshape(e, 2, 2)
 
+    def save(self, path: str | Path) -> None:
+        np.savez_compressed(path, names=np.array(list(self.index)), unary=self.unary, pair=self.pair)
+
+    @classmethod
+    def load(cls, path: str | Path) -> Model:
+        made = cls.__new__(cls)
+        with np.load(path) as f:
+            made.index, made.unary, made.pair = {str(x): k for k, x in enumerate(f["names"])}, f["unary"], f["pair"]
+        return made
+
     @staticmethod
     def _edges(forest: Forest, joint: np.ndarray, e: int) -> np.ndarray:
         out = np.zeros((e, 2, 2))
@@ -171,10 +183,14 @@ class Model:
         return ["\n\n".join(t for t, q in zip(tree.text, p, strict=True) if t and q >= 0.5) for tree, p in zip(trees, self.marginals(trees), strict=True)]
 
 
+#: The weights that Model() learns.
+WEIGHTS = Path(__file__).with_name("html_weights.npz")
+
+
 @lru_cache(maxsize=1)
 def model() -> Model:
-    """Trained once in a process."""
-    return Model()
+    """Read once in a process."""
+    return Model.load(WEIGHTS)
 
 
 #: Pages whose messages run together: as many as have this many characters, so that memory is bounded.
@@ -201,3 +217,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 at = end
 
     return rows.mapInArrow(run, "id long, url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})
+
+
+if __name__ == "__main__":
+    Model().save(WEIGHTS)

@@ -1,7 +1,7 @@
 """Labelled pages to learn extraction from, made from a seed: layouts and names of parts as pages on the web have them.
 
-Every element that begins the article or a part beside it carries data-y (1 or 0); blocks of text inherit the
-nearest one above. Words are made up, so that only structure can be learned from them.
+Every element that begins the article or a part beside it carries a label (1 or 0) in an attribute of a name that is
+used nowhere else; only label_of reads it, and blocks of text inherit the nearest one above. Words are made up, so that only structure can be learned from them.
 """
 
 from __future__ import annotations
@@ -9,6 +9,9 @@ from __future__ import annotations
 import random
 import re
 
+#: The attribute with the label of a part, in made-up pages only.
+LABEL = "sparkweft-training-label"
+_LABEL = re.compile(rf"\s{LABEL}=([01])")
 _SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve ung ch sch eau ment que ión ß ä é".split()
 #: Names that pages give to parts: fixed lists, by kind.
 ARTICLE = "article content post entry article-text news-article copy description page-text column-main center-column story main body text article-body post-content entry-content story-body main-content articleText markdown-body page-content news-text blog-post".split()
@@ -74,14 +77,14 @@ class Maker:
             "comments": lambda: f"<h3>{self.words(1, 3)}</h3>" * r.randint(0, 1) + "".join(r.choice([f"<li><p>{self.prose()}</p></li>", f'<div class="{r.choice(["comment", "reply", "comment-body"])}"><p>{self.prose()}</p></div>', f'<div class="comment"><span class="author">{self.words(1, 2)}</span><p>{self.prose()}</p></div>', f"<p>{self.prose()}</p>"]) for _ in range(r.choice([1, 2, 3, 5, 8, 20]))),
             "share": lambda: r.choice([self.links(3) if tag == "ul" else f"<ul>{self.links(3)}</ul>", f'<a href="#">{self.words(1, 2)}</a> <a href="#">{self.words(1, 2)}</a>']),
         }[kind]()
-        return f'<{tag}{"" if plain else self.named(kind)} data-y="0">{inner}</{tag}>'
+        return f'<{tag}{"" if plain else self.named(kind)} {LABEL}=0>{inner}</{tag}>'
 
     def article(self) -> str:
         r = self.r
         parts = [f"<h1>{self.words(2, 12)}</h1>"] if r.random() < 0.8 else []
         if parts and r.random() < 0.25:
-            byline = r.choice(["", "", f'<div class="{r.choice(["meta", "byline", "date", "entry-meta", "post-info"])}" data-y="0">{self.words(2, 6)}</div>'])
-            parts = [f"<header{r.choice(['', ' class=entry-header', ' class=post-header'])} data-y=1>{parts[0].replace('<h1>', r.choice(['<h1>', '<h1 class=title>', '<h1 class=entry-title>']))}{byline}</header>"]
+            byline = r.choice(["", "", f'<div class="{r.choice(["meta", "byline", "date", "entry-meta", "post-info"])}" {LABEL}=0>{self.words(2, 6)}</div>'])
+            parts = [f"<header{r.choice(['', ' class=entry-header', ' class=post-header'])} {LABEL}=1>{parts[0].replace('<h1>', r.choice(['<h1>', '<h1 class=title>', '<h1 class=entry-title>']))}{byline}</header>"]
         for _ in range(r.randint(1, 12)):
             draw = r.random()
             if draw < 0.78:
@@ -107,11 +110,11 @@ class Maker:
         tag = r.choice({"semantic": ["article", "article", "main", "section"], "mixed": ["article", "main", "div", "section"], "classes": ["div", "div", "section"], "table": ["td", "td", "div"]}[self.style])
         bare = tag in ("article", "main") and r.random() < 0.6 or r.random() < 0.05
         if r.random() < 0.15:  # no element around the article
-            return "".join(x if "data-y" in x[:90] else re.sub(r"^<(\w+)", r'<\1 data-y="1"', x) for x in parts)
+            return "".join(x if LABEL in x[: x.index(">")] else re.sub(r"^<(\w+)", rf"<\1 {LABEL}=1", x) for x in parts)
         inner = "".join(parts)
         if r.random() < 0.3:
             inner = f'<div{self.named("article") if r.random() < 0.7 else ""}>{inner}</div>'
-        return f'<{tag}{"" if bare else self.named("article")} data-y="1">{inner}</{tag}>'
+        return f'<{tag}{"" if bare else self.named("article")} {LABEL}=1>{inner}</{tag}>'
 
     def laid_out(self, parts: list[str]) -> str:
         """parts in order, cells in rows of tables."""
@@ -143,5 +146,10 @@ class Maker:
         return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{}}</style></head><body>{self.laid_out([*before, inner, *after])}</body></html>"
 
 
+def label_of(attributes: str) -> int | None:
+    m = _LABEL.search(attributes)
+    return int(m[1]) if m else None
+
+
 def labelled_pages(n: int, seed: int) -> list[str]:
     return [Maker(seed * 1_000_003 + k).page() for k in range(n)]

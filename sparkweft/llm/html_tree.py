@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from html import unescape
 
 #: Fixed values of HTML: elements that bound blocks, elements without text of ours, raw text, empty elements.
@@ -28,13 +29,13 @@ CLOSES = {"li": ("li", frozenset(("ul", "ol", "menu", "dir"))), "dt": ("dt dd",
 _CELLS = frozenset(("td", "th", "table"))
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\shidden(?=[\s/=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Tree:
-    """parent and tag of each node in page order ('' for a text block); parts: names in class, id and role; texts and link characters of blocks; given: data-y."""
+    """parent and tag of each node in page order ('' for a text block); parts: names in class, id and role; texts and link characters of blocks; given: what `label_of` says of a start tag's attributes (None where nothing does)."""
 
     def __init__(self):
         self.parent: list[int] = []
@@ -62,23 +63,17 @@ class Tree:
         return out
 
 
-def names(attributes: str) -> tuple[tuple[str, ...], int | None]:
-    """Lower-case parts of class, id, role and label; data-y as a number."""
-    found, given = [], None
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value = values[0] or values[1] or values[2]
-        if name == "data-y":
-            given = int(value)
-        else:
-            found += [p.lower() for p in _PART.findall(value)]
+def names(attributes: str) -> tuple[str, ...]:
+    """Lower-case parts of class, id, role and label."""
+    found = [p.lower() for _, *values in _ATTRIBUTE.findall(attributes) for p in _PART.findall(values[0] or values[1] or values[2])]
     if _HIDDEN.search(attributes):
         found.append("(hidden)")
-    return tuple(dict.fromkeys(found)), given
+    return tuple(dict.fromkeys(found))
 
 
 class _Builder:
-    def __init__(self):
-        self.tree = Tree()
+    def __init__(self, label_of: Callable[[str], int | None] | None = None):
+        self.tree, self.label_of = Tree(), label_of
         self.open = [self.tree.add(-1, "html")]
         self.scopes = [Counter(["html"])]  # open elements by name, one counter for each open cell or table
         self.run: list[str] = []
@@ -129,8 +124,8 @@ class _Builder:
                     self.pop()
                 if tag == "tr" and self.tree.tag[self.open[-1]] == "tr":
                     self.pop()
-        parts, given = names(attributes) if attributes else ((), None)
-        self.open.append(self.tree.add(self.open[-1], tag, parts, given=given))
+        given = self.label_of(attributes) if self.label_of else None
+        self.open.append(self.tree.add(self.open[-1], tag, names(attributes) if attributes else (), given=given))
         if tag in _CELLS:
             self.scopes.append(Counter())
         else:
@@ -178,9 +173,9 @@ class _Skip:
         return ""
 
 
-def parse(page: str) -> Tree:
-    """The tree of a page; node 0 is the page itself."""
-    b, at, n = _Builder(), 0, len(page)
+def parse(page: str, label_of: Callable[[str], int | None] | None = None) -> Tree:
+    """The tree of a page; node 0 is the page itself. label_of reads labels from attributes (of pages made for training only)."""
+    b, at, n = _Builder(label_of), 0, len(page)
     skip: _Skip | None = None
     kept: set[int] = set()  # ends of start tags whose elements are not passed over, as nothing closes them
     no_comment_end = False

@@ -8,6 +8,7 @@ import math
 import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkweft.llm import bpe, html_extract, html_tree, kneser_ney, packing, quality_classifier
-from sparkweft.llm.html_pages import labelled_pages
+from sparkweft.llm.html_pages import label_of, labelled_pages
 from sparkweft.llm.registry import fold
 
 SF = "/root/testdata/sf0.001"
@@ -77,7 +78,7 @@ def test_unclosed_elements_cost_linear_time(part):
     assert seconds(20_000) < 20 * max(seconds(2_000), 0.02)
 
 
-@given(st.lists(st.sampled_from([*"<>/!-ap =\"'& \n;", "<p>", "</p>", "<td>", "</table>", "<table>", "<tr>", "</tr>", "<!--", "<a ", "<li>", "</div>", "<div>", "<script>"]), max_size=80))
+@given(st.lists(st.sampled_from([*"<>/!-ap =\"'& \n;", "<p>", "</p>", "<td>", "</table>", "<table>", "<tr>", "</tr>", "<!--", "<a ", "<li>", "</div>", "<div>", "<script>", " data-y=auto", " data-y=''", " class", " id=", " hidden", "<div data-y=1.5>", "<button>", "<select>", "</button>", "<svg", "<math>", "<object>", "sparkweft-training-label=x"]), max_size=80))
 def test_parser_never_fails(parts):
     t = html_tree.parse("".join(parts))
     assert all(p < k for k, p in enumerate(t.parent))
@@ -85,7 +86,7 @@ def test_parser_never_fails(parts):
 
 def test_extraction_of_held_out_pages():
     pages = labelled_pages(120, 77)
-    trees = [html_tree.parse(p) for p in pages]
+    trees = [html_tree.parse(p, label_of) for p in pages]
     right = total = 0
     for tree, p in zip(trees, html_extract.model().marginals(trees), strict=True):
         given_ = html_extract.given_labels(tree)
@@ -94,6 +95,68 @@ def test_extraction_of_held_out_pages():
     assert right / total > 0.98
 
 
+def test_pages_cannot_label_themselves():
+    """Attributes of any name are no labels, and change neither the tree nor what is extracted."""
+    page = "<article><div data-y='auto'><p>One, two and three more words of prose.</p></div><p data-y=''>Four.</p></article>"
+    plain = page.replace(" data-y='auto'", "").replace(" data-y=''", "")
+    assert html_extract.model().texts([page, page.replace("data-y=''", "sparkweft-training-label=0")]) == html_extract.model().texts([plain] * 2)
+    assert set(html_tree.parse(page).given) == {None}
+
+
+def test_stored_weights_are_what_training_gives():
+    fresh, stored = html_extract.Model(), html_extract.model()
+    assert list(fresh.index) == list(stored.index)
+    trees = [html_tree.parse(p) for p in labelled_pages(40, 5)]
+    for a, b in zip(fresh.marginals(trees), stored.marginals(trees), strict=True):
+        assert np.allclose(a, b, atol=1e-3)
+
+
+class Reader(HTMLParser):
+    """Blocks of text below <article>, by the standard library's parser and nothing of ours."""
+
+    SILENT = {"script", "style", "nav", "aside", "footer", "form", "template", "noscript"}
+
+    def __init__(self, page: str):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.silent, self.run, self.blocks = 0, 0, [], []
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self) -> None:
+        text = " ".join("".join(self.run).split())
+        self.run.clear()
+        if text:
+            self.blocks.append(text)
+
+    def turn(self, tag: str, by: int) -> None:
+        if tag in html_tree.BLOCKS:
+            self.flush()
+        if tag == "br":
+            self.run.append(" ")
+        if tag == "article":
+            self.inside += by
+        if tag in self.SILENT:
+            self.silent = max(0, self.silent + by)
+
+    def handle_starttag(self, tag, attrs):
+        self.turn(tag, 1)
+
+    def handle_endtag(self, tag):
+        self.turn(tag, -1)
+
+    def handle_data(self, data):
+        if self.inside > 0 and not self.silent:
+            self.run.append(data)
+
+
+def test_extraction_agrees_with_another_reader(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    same = [got[r.page_id] == "\n\n".join(Reader(r.html or "").blocks) for r in pages.collect()]
+    assert sum(same) / len(same) > 0.99
+
+
 def test_messages_give_exact_marginals():
     tree = html_tree.parse("<div><p>a b c</p><ul><li>d</li><li>e</li></ul></div><p>f</p>")
     index: dict[str, int] = {}
