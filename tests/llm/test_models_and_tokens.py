@@ -281,6 +281,24 @@ def test_bpe_is_tiktoken(peer, text):
     assert ids == peer.encode_ordinary(text) and c.decode(ids) == text.encode()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.binary(min_size=2, max_size=bpe.WIDEST), st.text(alphabet="abeintrs ", min_size=2, max_size=40).map(str.encode)), min_size=1, max_size=30))
+def test_trees_side_by_side_merge_like_one_tree(parts):
+    c = bpe.codec(RANKS, PATTERN)
+    parts = [p for p in parts if p not in c.ranks]
+    got = [np.frombuffer(x, "<u4").tolist() for x in bpe.merge_many(parts, c.single, c.pairs)]
+    assert got == [bpe.merge(p, c.ranks) for p in parts]
+
+
+def test_texts_learned_together(peer, rows):
+    """In one batch, and piece by piece once the memory has turned over."""
+    texts = [t or "" for _, t, *_ in rows]
+    want = [peer.encode_ordinary(t) for t in texts]
+    for most in (400_000, 5):
+        c = bpe.Codec(RANKS, PATTERN, most)
+        assert list(c.encode_all(texts)) == want and list(map(c.encode, texts)) == want
+
+
 def test_long_run_without_a_boundary(peer):
     c = bpe.codec(RANKS, PATTERN)
     text = "ab" * 20_000 + "é" * 500
