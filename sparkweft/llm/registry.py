@@ -85,7 +85,7 @@ ORACLES = {
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORM} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-               doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+               row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)""",
     "op8_quality_rules": QUALITY_SQL,
 }

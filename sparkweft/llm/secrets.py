@@ -490,7 +490,8 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars",
     """docs with the findings in its texts replaced; a row without findings stays as it is. length_col, where there is one, follows changed texts."""
     with_weights = scanner(recall)
     has_length = length_col in docs.columns
-    schema, at = docs.schema, docs.columns.index(text_col)
+    at = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names with dots and the like cannot be sent to Python
     at_length = docs.columns.index(length_col) if has_length else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -507,7 +508,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars",
                     part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
                 yield part
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 if __name__ == "__main__":

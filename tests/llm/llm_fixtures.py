@@ -8,7 +8,7 @@ import re
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, kept boolean, key_text string, fp string, score double, length long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, kept boolean, key_text string, fp string, score double, length long, _row_id long, _gone_text string, key_id long, _at string, _slot int, root long, `a.b` int"
 
 
 def awkward(seed: int = 5) -> list[tuple]:
@@ -28,7 +28,7 @@ def awkward(seed: int = 5) -> list[tuple]:
 
 
 def frame(spark, rows: list[tuple]):
-    full = [(i, t, lang, src, None if t is None else len(t), 7, True, "k", "f", 0.5, 3) for i, t, lang, src in rows]
+    full = [(i, t, lang, src, None if t is None else len(t), 7, True, "k", "f", 0.5, 3, 1, "g", 2, "a", 4, 5, 6) for i, t, lang, src in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

@@ -48,6 +48,23 @@ def test_stages(spark, rows, tmp_path):
     assert {r.doc_id for r in packed} == set(masked)
 
 
+def test_identical_rows_and_rows_without_ids(spark):
+    """Each dedup stage leaves one row of identical ones, and one of copies whose ids are null or the same."""
+    r = random.Random(4)
+    prose = lambda n: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+    one, two, three = prose(80), prose(80), prose(80)
+    rows = [(7, one, "en", "s"), (7, one, "de", "t"), (7, one.upper(), "en", "s"), (None, two, "en", "s"), (None, two, "en", "s"), (None, two.replace(" ", "  "), "en", "s"), (9, three, "en", "s"), (9, three + " end", "en", "s"), (9, three + " end", "en", "s")]
+    docs = frame(spark, rows).repartition(3)
+    exact = corpus_pipeline.drop_copies(spark, docs, "")
+    assert exact.columns == docs.columns
+    assert sorted(" ".join(lower_az(x.text).split()) for x in exact.collect()) == sorted([one, two, two, three, three + " end"])
+    near = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert near.columns == docs.columns
+    roots = {t: fingerprint(t) for t in (one, two, three, three + " end")}
+    kept = near.collect()
+    assert len(kept) == len(set(components([(0, f) for f in roots.values()]).items())) == len({fingerprint(x.text) for x in kept}) or len(kept) == 3
+
+
 def test_run(spark, rows, tmp_path):
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 50

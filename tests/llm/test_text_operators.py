@@ -17,6 +17,7 @@ from llm_fixtures import WORD, awkward, components, fingerprint, frame, lower_az
 from sparkweft.llm import quality_rules as quality
 from sparkweft.llm import secrets, simhash, substring_dedup
 from sparkweft.llm.exact_dedup import exact_dedup
+from sparkweft.llm.registry import ORACLES
 from sparkweft.llm.words import WordHashes, Windows, split_words
 
 
@@ -34,13 +35,26 @@ def test_exact_dedup(docs, rows):
     groups: dict[str, list] = {}
     for i, t, *_ in rows:
         groups.setdefault(lower_az(t or ""), []).append(i)
-    want = []
+    want, done = [], set()
     for i, t, *_ in rows:
         ids = groups[lower_az(t or "")]
         top = max((x for x in ids if x is not None), default=None)
-        want.append((i, top, len(ids), i == top, hashlib.sha256(lower_az(t or "").encode()).hexdigest()))
+        kept = i == top and lower_az(t or "") not in done
+        done |= {lower_az(t or "")} if kept else set()
+        want.append((i, top, len(ids), kept, hashlib.sha256(lower_az(t or "").encode()).hexdigest()))
     got = [tuple(r)[:5] for r in exact_dedup(docs).collect()]
     assert Counter(got) == Counter(want)
+    con = duckdb.connect()
+    rows_of = docs.select("doc_id", "text").toPandas()  # noqa: F841
+    con.sql("create view documents as select doc_id::BIGINT AS doc_id, text from rows_of")
+    by_sql = Counter((None if i is None or i != i else int(i), None if k is None or k != k else int(k), n, kept, h) for i, k, n, kept, h in con.sql(ORACLES["op2_exact_dedup"]).fetchall())
+    assert by_sql == Counter(want)
+
+
+def test_identical_rows_leave_one(spark):
+    d = frame(spark, [(7, "a", "en", "s"), (7, "a", "de", "t"), (7, "A", "en", "s"), (None, "b", "en", "s"), (None, "b", "en", "s"), (3, "b", "en", "s"), (None, "c", "x", "y"), (None, "c", "x", "y")]).repartition(3)
+    assert Counter(r.text_sha256[:4] for r in exact_dedup(d).filter("kept").collect()) == Counter(hashlib.sha256(x.encode()).hexdigest()[:4] for x in "abc")
+    assert exact_dedup(d).count() == 8
 
 
 def test_exact_dedup_by_a_digest_that_collides(docs, rows):
@@ -58,8 +72,9 @@ def test_simhash_against_brute_force(docs, rows):
     want = Counter((i, f"{f:016x}", roots[f]) for i, f in fps)
     got = Counter((r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_components(docs).collect())
     assert got == want
-    crowded = simhash.simhash_components(docs, most=1).collect()
-    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in crowded) == want
+    for change in ({"most": 1}, {"groups": 8}):
+        again = simhash.simhash_components(docs, **change).collect()
+        assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in again) == want
 
 
 def test_simhash_links_join_what_all_links_join(spark):
@@ -79,6 +94,21 @@ def test_simhash_links_join_what_all_links_join(spark):
         assert {f: roots.get(f, f) for f in fps} == want
 
 
+def test_pivots_discard_pairs_and_no_link(spark):
+    rng = np.random.default_rng(5)
+    base = [int(x) for x in rng.integers(0, 1 << 62, 40)]
+    fps = {b ^ int(f) for b in base for f in [0, 1, 6, *(1 << rng.integers(0, 62, 6)), *(int(x) for x in rng.integers(0, 1 << 20, 12))]}
+    near = sum((a ^ b).bit_count() <= 2 for a in fps for b in fps if a < b)
+    d = spark.createDataFrame([(f,) for f in fps], "fp long")
+    report = simhash.pivot_report(d, most=10_000)
+    assert report["pairs"] > report["left"] > report["links"] >= near > 0  # a link is found once for each cell that its ends share
+    assert simhash.links(d, most=10_000).count() == near
+
+
+def test_groups_follow_the_number_of_fingerprints():
+    assert simhash.groups_for(0) == simhash.groups_for(10**6) == 5 and simhash.groups_for(10**9) == 6 and simhash.groups_for(2 * 10**10) == 10
+
+
 def test_substring_dedup(spark, rows):
     unique = {i: t for i, t, *_ in rows if i is not None}
     d = frame(spark, [(i, t, "en", "s") for i, t in unique.items()]).repartition(3)
