@@ -5,8 +5,9 @@ return docs' columns: rows that fail the quality rules go; of equal texts the on
 each group of near copies the one with the smallest id stays; secrets are replaced by a mark, and no row goes for
 them. The last one returns the packed pieces.
 
-Defined results: null text is empty, and fails the quality rules; rows with a null id take part like any other;
-rows that repeat id and text share one fate; empty tables give empty results; further columns are carried along.
+Defined results: null text is empty, and fails the quality rules; rows with a null id take part like any other; of
+rows that repeat id and text the dedup stages leave one (of near copies with the smallest id, or all without one, the one
+with the smallest hash of its text); empty tables give empty results; further columns, of any names, are carried along.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkweft.llm.common import drop_rows, materialise, read, text_of
+from sparkweft.llm.common import drop_rows, join_weighted, materialise, one_of_each, read, text_of
 from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.packing import pack_documents
 from sparkweft.llm.quality_rules import quality_rules
@@ -32,14 +33,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = exact_dedup(docs)
-    return drop_rows(docs, found.filter(~F.col("kept")).select(F.col("doc_id").alias("key_id"), "key_text"))
+    found = materialise(exact_dedup(docs).select(F.col("doc_id").alias("key_id"), "key_text", "kept"), "copies")
+    # A row that repeats the id and the text of the one that stays has its key: one_of_each leaves one of them.
+    staying = found.filter("kept").select(F.col("key_id").alias("_id"), F.col("key_text").alias("_text"))
+    dropped = found.filter("not kept").join(staying, F.col("key_id").eqNullSafe(F.col("_id")) & (F.col("key_text") == F.col("_text")), "left_anti")
+    return one_of_each(drop_rows(docs, dropped))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash_components(docs)
-    others = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return drop_rows(docs, others.select(F.col("doc_id").alias("key_id"), "key_text"))
+    found = materialise(simhash_components(docs).select(F.col("doc_id").alias("key_id"), "key_text", "root"), "near")
+    place = F.struct(F.col("key_id").isNull().alias("unknown"), "key_id", "key_text")
+    best = materialise(found.groupBy("root").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("n")), "best")
+    others = join_weighted(found, best, "root", "n", F.col("key_text")).filter(~place.eqNullSafe(F.col("best")))
+    return one_of_each(drop_rows(docs, others.select("key_id", "key_text")))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
