@@ -1,11 +1,19 @@
 """Quality classifier by positive-unlabelled learning, with the non-negative risk and an estimated class prior.
 
 Trusted positives are rows labelled 1 in the learning fold; the unlabelled web text is every row, whatever
-its label. With z the score's logit, the logistic loss l and the class prior q, training minimises
-    q E_p[l(z)] + max(0, E_u[l(-z)] - q E_p[l(-z)]) + ridge / 2 |w|^2,
-so rows labelled 0 are no training examples; they count in the prior only, which is the share of label 1 among
-the learning fold's labels (or a parameter). A fit whose second part is negative has fitted its sample's noise: it
-is refused, and the ridge grows threefold until the part is non-negative at the minimum (few positives need more).
+its label; rows labelled 0 are not used. With z the score's logit, the logistic loss l and the class prior q, training
+minimises the non-negative risk
+    q E_p[l(z)] + max(0, N) + ridge / 2 |w|^2,   N = E_u[l(-z)] - q E_p[l(-z)].
+As l(z) - l(-z) is linear, both q E_p[l(z)] and q E_p[l(z)] + N are convex, and so is the larger of the two. Its
+minimum is that of the plain risk if N is not negative there; else N is zero at it, and with a multiplier c between 0
+and 1 the gradient of q E_p[l(z)] + c N + ridge / 2 |w|^2 vanishes: Newton's method on w and c together finds it.
+The ridge is `ridge` and `few` / positives on top, as few positives need more.
+
+The prior is estimated from positives and unlabelled rows alone, by the best bin (Garg, Wu, Balakrishnan, Smola and
+Lipton, 2021): first models are trained at prior one half, each on half of the positives, for both halves of SPLITS ways
+to halve them, all in the same passes; of the thresholds on their scores, the one is taken where the share of unlabelled
+rows above it, over the share of positives above it in the halves that were not trained on, has the least upper
+confidence bound; that ratio is the prior. The shares come from histograms, which merge.
 
 Features are shares and logarithms of a whole text (characters by class, words, repeats, lines), computed once
 and stored with the flag of trusted positives: some 60 numbers a row. A Newton step is one pass over that
@@ -13,13 +21,13 @@ table; tasks send sums of products, which are added in a fixed number of slots b
 training covers all rows and its cost on the driver does not grow. Language, source, id and labels are no features.
 
 Defined results: null text is empty and has a score; a row whose id has labels that disagree is no trusted positive; null
-labels do not count; without positives every score is the prior (one half without labels); repeated rows
+labels do not count; without trusted positives every score is the prior (one half, if none is given); repeated rows
 count and come back each time; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkweft.llm.common import BROADCAST_BYTES, materialise
-from sparkweft.llm.words import split_words
+from sparkweft.llm.words import WordHashes, split_words
 
 #: Character classes by byte; other bytes are of letters beyond ASCII.
 CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t", "\n\r", ".,;:'\"()-", "!?", "#*$%&|<>", "@/\\_=+~^`[]{}")
@@ -37,8 +45,13 @@ _CLASS = np.full(256, len(CLASSES), np.int64)
 for _k, _chars in enumerate(CLASSES):
     _CLASS[[ord(_c) for _c in _chars]] = _k
 RAW = len(CLASSES) + 1 + 14
-RIDGES, SLOTS, ROUNDS = (0.1, 0.3, 1.0, 3.0, 10.0), 32, 10
+RIDGE, FEW, SLOTS, ROUNDS = 0.02, 3.0, 32, 30
 WIDE = 1 + 2 * RAW
+#: Ways to halve the positives: way k goes by bit k of a positive's mark less one.
+SPLITS = 4
+#: Bins of the logits' histogram, between -_FAR and _FAR, and the confidence of the prior's bound.
+_BINS, _FAR, _DELTA = 400, 20.0, 0.1
+_HASHES = WordHashes()
 
 
 def raw_features(text: str) -> np.ndarray:
@@ -57,9 +70,9 @@ def raw_features(text: str) -> np.ndarray:
     p = counts[counts > 0] / n
     m = len(words)
     heads, tails = [w[0] for w in words], [w[-1] for w in words]
-    hashed = np.fromiter(map(hash, words), np.int64, m)
+    hashed = _HASHES.of(words)
     lines = [x for x in text.split("\n") if x]
-    triples = hashed[:-2] * 3 + hashed[1:-1] * 5 + hashed[2:] * 7 if m > 2 else hashed
+    triples = hashed[:-2] * np.uint64(3) + hashed[1:-1] * np.uint64(5) + hashed[2:] * np.uint64(7) if m > 2 else hashed
     sizes = np.fromiter(map(len, words), np.int64, m)
     out[k + 2 :] = (
         np.log1p(m) / 10,
@@ -84,7 +97,7 @@ def expanded(raw: np.ndarray) -> np.ndarray:
 
 
 def _summed(table: DataFrame, make, slots: int = SLOTS) -> np.ndarray | None:
-    """Sum over all rows of what make(features, flags) gives for a batch; None if there are no rows.
+    """Sum over all rows of what make(features, flags) gives for a batch; None if there are no rows. Flags: 0, or a mark from 1 on for positives.
 
     Each task sends one row, the rows meet in `slots` groups, and at most `slots` rows come to the driver.
     """
@@ -94,7 +107,7 @@ def _summed(table: DataFrame, make, slots: int = SLOTS) -> np.ndarray | None:
         for b in batches:
             for part in (b.slice(k, 4096) for k in range(0, b.num_rows, 4096)):
                 x = np.frombuffer(b"".join(part["f"].to_pylist()), "<f4").reshape(-1, RAW).astype(np.float64)
-                found = make(expanded(x), np.array(part["p"].to_pylist(), bool))
+                found = make(expanded(x), np.array(part["p"].to_pylist(), np.int8))
                 total = found if total is None else total + found
         if total is not None:
             yield pa.record_batch({"slot": pa.array([TaskContext.get().partitionId() % slots], pa.int32()), "v": pa.array([total.tobytes()], pa.binary())})
@@ -110,51 +123,117 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def moments(x: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    return np.concatenate([[len(x), flags.sum()], x.sum(axis=0), (x * x).sum(axis=0)])
+def half(flags: np.ndarray, way: int, which: int) -> np.ndarray:
+    """The positives of one half (0 or 1) of a way to halve them."""
+    return (flags > 0) & (((flags.astype(np.int64) - 1) >> way) & 1 == which)
 
 
-def risk_parts(x: np.ndarray, flags: np.ndarray, weights: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Sums for a step: l(-z) over all and over positives, the gradients of both, the positive part's gradient, the curvature."""
-    x = (x - mean) / scale
+def risk_parts(x: np.ndarray, positive: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sums for a step, over all rows and over positives: l(-z), its gradient and its curvature; the gradient of l(z) over positives."""
     z = x @ weights
-    s, own = _sigmoid(z), x[flags]
+    s, own = _sigmoid(z), x[positive]
+    t = s[positive]
     return np.concatenate([
-        [np.logaddexp(0, z).sum(), np.logaddexp(0, z[flags]).sum()],
-        s @ x, s[flags] @ own, (s[flags] - 1) @ own,
-        ((x * (s * (1 - s))[:, None]).T @ x).ravel(),
+        [np.logaddexp(0, z).sum(), np.logaddexp(0, z[positive]).sum()],
+        s @ x, t @ own, (t - 1) @ own,
+        ((x * (s * (1 - s))[:, None]).T @ x).ravel(), ((own * (t * (1 - t))[:, None]).T @ own).ravel(),
     ])
 
 
-def fit(table: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights, means and scales from a table of f (features) and p (trusted positive)."""
-    start, mean, scale = np.zeros(WIDE), np.zeros(WIDE), np.ones(WIDE)
-    start[0] = np.log(prior / (1 - prior))
-    found = _summed(table, moments)
-    if found is None or not found[1]:
-        return start, mean, scale
-    n, positives = found[:2]
-    mean = found[2 : 2 + WIDE] / n
-    scale = np.maximum(np.sqrt(np.maximum(found[2 + WIDE :] / n - mean**2, 0)), 1e-6)
+class Fit:
+    """Weights of standardised features, and what training ended with: N (negative_part), the multiplier c and the last step."""
+
+    def __init__(self, prior: float):
+        self.prior, self.weights, self.mean, self.scale = prior, np.zeros(WIDE), np.zeros(WIDE), np.ones(WIDE)
+        self.weights[0] = np.log(prior / (1 - prior))
+        self.negative_part, self.multiplier, self.step = 0.0, 1.0, 0.0
+
+    def logits(self, raw: np.ndarray) -> np.ndarray:
+        return ((expanded(raw) - self.mean) / self.scale) @ self.weights
+
+
+    def advance(self, sums: np.ndarray, n: float, positives: float, pull: np.ndarray) -> bool:
+        """One Newton step from the sums of risk_parts(); whether it was the last."""
+        prior, c, w = self.prior, self.multiplier, self.weights
+        of_all, of_positives, upward = sums[2 : 2 + 3 * WIDE].reshape(3, WIDE)
+        curve_all, curve_positives = sums[2 + 3 * WIDE :].reshape(2, WIDE, WIDE)
+        part, slope = sums[0] / n - prior * sums[1] / positives, of_all / n - prior * of_positives / positives
+        gradient = prior * upward / positives + c * slope + pull * w
+        curve = (1 - c) * prior * curve_positives / positives + c * curve_all / n + np.diag(pull)
+        self.negative_part = part
+        if c == 1.0 and part >= 0:
+            step, turn = -np.linalg.solve(curve, gradient), 0.0
+        else:  # the clamp holds: N = 0 with a multiplier
+            both = np.block([[curve, slope[:, None]], [slope[None], np.zeros((1, 1))]])
+            found = -np.linalg.solve(both, np.append(gradient, part))
+            step, turn = found[:-1], found[-1]
+        self.step = float(np.abs(step).max())
+        damp = min(1.0, 5.0 / max(self.step, 1e-12))
+        self.weights, self.multiplier = w + damp * step, min(1.0, max(0.0, c + damp * turn))
+        return self.step < 1e-4
+
+
+def fit_all(table: DataFrame, prior: float, trains: list[Callable[[np.ndarray], np.ndarray]], ridge: float = RIDGE, few: float = FEW, rounds: int = ROUNDS) -> list[Fit]:
+    """A model for each of `trains`, which tells a batch's training positives from its flags; all take their steps in the same passes.
+
+    table: f (features) and p (0, or a mark from 1 on for trusted positives).
+    """
+    made = [Fit(prior) for _ in trains]
+    found = _summed(table, lambda x, flags: np.concatenate([[len(x)], [np.count_nonzero(t(flags)) for t in trains], x.sum(axis=0), (x * x).sum(axis=0)]).astype(np.float64))
+    if found is None:
+        return made
+    n, positives, (total, squares) = found[0], found[1 : 1 + len(trains)], found[1 + len(trains) :].reshape(2, WIDE)
+    mean = total / n
+    scale = np.maximum(np.sqrt(np.maximum(squares / n - mean**2, 0)), 1e-6)
     mean[0], scale[0] = 0.0, 1.0
-    for ridge in ridges:
-        weights, pull = start, np.full(WIDE, ridge)
-        pull[0] = 0.0
-        for turn in range(rounds):
-            found = _summed(table, lambda x, flags: risk_parts(x, flags, weights, mean, scale))  # noqa: B023
-            negative = found[0] / n - prior * found[1] / positives
-            if negative < 0 and turn > 1 and ridge != ridges[-1]:
-                break
-            of_all, of_positives, upward = found[2 : 2 + 3 * WIDE].reshape(3, WIDE)
-            slope = prior * upward / positives + of_all / n - prior * of_positives / positives + pull * weights
-            step = np.linalg.solve(found[2 + 3 * WIDE :].reshape(WIDE, WIDE) / n + np.diag(pull + 1e-6), slope)
-            step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-            weights = weights - step
-            if np.abs(step).max() < 1e-4:
-                return weights, mean, scale
-        else:
-            return weights, mean, scale
-    return weights, mean, scale
+    for m in made:
+        m.mean, m.scale = mean, scale
+    going = [k for k in range(len(made)) if positives[k]]
+    for _ in range(rounds):
+        if not going:
+            break
+
+        def parts(x: np.ndarray, flags: np.ndarray) -> np.ndarray:
+            x = (x - mean) / scale
+            return np.concatenate([risk_parts(x, trains[k](flags), made[k].weights) for k in going])  # noqa: B023
+
+        sums = _summed(table, parts).reshape(len(going), -1)
+        pulls = [np.concatenate([[1e-6], np.full(WIDE - 1, ridge + few / positives[k])]) for k in going]
+        going = [k for k, own, pull in zip(going, sums, pulls, strict=True) if not made[k].advance(own, n, positives[k], pull)]
+    return made
+
+
+def fit(table: DataFrame, prior: float, ridge: float = RIDGE, few: float = FEW, rounds: int = ROUNDS) -> Fit:
+    return fit_all(table, prior, [lambda flags: flags > 0], ridge, few, rounds)[0]
+
+
+def estimated_prior(table: DataFrame, ridge: float = RIDGE, few: float = FEW) -> float | None:
+    """The share of positives among all rows (see above); None without positives in both halves of a way to halve them."""
+    ways = [(way, which) for way in range(SPLITS) for which in (0, 1)]
+    models = fit_all(table, 0.5, [lambda flags, way=way, which=which: half(flags, way, 1 - which) for way, which in ways], ridge, few)
+
+    def counted(x: np.ndarray, flags: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(ways), 2, _BINS))
+        for k, ((way, which), m) in enumerate(zip(ways, models, strict=True)):
+            z = ((x - m.mean) / m.scale) @ m.weights
+            at = np.clip((z + _FAR) * (_BINS / (2 * _FAR)), 0, _BINS - 1).astype(np.int64)
+            out[k] = np.bincount(at, minlength=_BINS), np.bincount(at[half(flags, way, which)], minlength=_BINS)
+        return out.ravel()
+
+    found = _summed(table, counted)
+    if found is None:
+        return None
+    found = found.reshape(SPLITS, 2, 2, _BINS)
+    both = found[:, :, 1].sum(axis=2).all(axis=1)
+    if not both.any():
+        return None
+    everything, others = (np.cumsum(h[::-1])[::-1] for h in found[both].sum(axis=(0, 1)))
+    n, m = everything[0] / (2 * both.sum()), others[0] / both.sum()
+    above, own = everything / everything[0], others / others[0]
+    there = own > 0
+    slack = np.sqrt(np.log(4 / _DELTA) / 2 / n) + np.sqrt(np.log(4 / _DELTA) / 2 / m)
+    best = int(np.argmin((above[there] + slack) / own[there]))
+    return float(min(max(above[there][best] / own[there][best], 0.01), 0.99))
 
 
 def featurised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -174,25 +253,22 @@ def judged(labels: DataFrame, in_learning: Column, id_col: str, label_col: str)
     return rows.groupBy(F.col(id_col).cast("long").alias("_id")).agg((F.min(label_col) == 1).alias("good"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, in_learning: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float | None = None, ridges: tuple[float, ...] = RIDGES) -> DataFrame:
-    """id, held_out, score, predicted of every row of docs; labels are read where in_learning (of the id) holds."""
-    known = materialise(judged(labels, in_learning, id_col, label_col), "judged")
-    n, good = known.agg(F.count(F.lit(1)), F.count_if("good")).first()
-    prior = min(max((good + 1) / (n + 2), 0.01), 0.99) if prior is None else prior
-    trusted = known.filter("good").select("_id", F.lit(True).alias("p"))
+def quality_scores(docs: DataFrame, labels: DataFrame, in_learning: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float | None = None, ridge: float = RIDGE, few: float = FEW) -> DataFrame:
+    """id, held_out, score, predicted of every row of docs; labels are read where in_learning (of the id) holds. prior: estimated unless given."""
+    trusted = materialise(judged(labels, in_learning, id_col, label_col).filter("good"), "trusted").select("_id", (F.pmod(F.xxhash64("_id"), F.lit(1 << SPLITS)) + 1).cast("byte").alias("p"))
     flagged = lambda rows, side: rows.join(side, F.col("id") == F.col("_id"), "left").drop("_id")
-    if good * 16 < BROADCAST_BYTES:
+    if trusted.count() * 16 < BROADCAST_BYTES:
         joined = flagged(featurised(docs, id_col, text_col), F.broadcast(trusted))
     else:  # null ids have no label and would all meet in one task of the join
         joined = flagged(featurised(docs.filter(F.col(id_col).isNotNull()), id_col, text_col), trusted)
-        joined = joined.unionByName(featurised(docs.filter(F.col(id_col).isNull()), id_col, text_col).withColumn("p", F.lit(False)))
-    table = materialise(joined.withColumn("p", F.coalesce("p", F.lit(False))), "features")
-    weights, mean, scale = fit(table, prior, ridges)
+        joined = joined.unionByName(featurised(docs.filter(F.col(id_col).isNull()), id_col, text_col).withColumn("p", F.lit(0).cast("byte")))
+    table = materialise(joined.withColumn("p", F.coalesce("p", F.lit(0).cast("byte"))), "features")
+    prior = estimated_prior(table, ridge, few) if prior is None else prior
+    made = fit(table, 0.5 if prior is None else prior, ridge, few)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = expanded(np.frombuffer(b"".join(b["f"].to_pylist()), "<f4").reshape(-1, RAW).astype(np.float64))
-            score = _sigmoid(((x - mean) / scale) @ weights)
+            score = _sigmoid(made.logits(np.frombuffer(b"".join(b["f"].to_pylist()), "<f4").reshape(-1, RAW).astype(np.float64)))
             yield pa.record_batch({"id": b["id"], "score": pa.array(score), "predicted": pa.array((score >= 0.5).astype(np.int32))})
 
     scored = table.select("id", "f").mapInArrow(run, "id long, score double, predicted int").withColumnRenamed("id", id_col)

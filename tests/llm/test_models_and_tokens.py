@@ -263,6 +263,57 @@ def test_classifier_of_awkward_rows(spark, docs, rows):
     assert quality_classifier.quality_scores(docs.limit(0), labels, fold(3) != 1).count() == 0
 
 
+def _mixture(spark, n: int, share: float, positives: int, seed: int = 0):
+    """A table as the classifier stores it: unlabelled rows of two classes, then trusted positives; and its arrays."""
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < share
+    x = np.clip(rng.normal(np.where(good, 0.65, 0.35)[:, None], 0.08, (n, quality_classifier.RAW)), 0, None)
+    p = np.zeros(n, np.int8)
+    p[np.flatnonzero(good)[:positives]] = 1 + np.arange(positives) % (1 << quality_classifier.SPLITS)
+    x = x.astype("<f4")
+    table = spark.createDataFrame([(bytearray(r.tobytes()), int(q)) for r, q in zip(x, p, strict=True)], "f binary, p byte").repartition(3)
+    return table, x.astype(np.float64), p, good
+
+
+def _risk(w, x, positive, prior: float, pull) -> tuple[float, float]:
+    """The non-negative risk with its ridge, and N, from their definitions."""
+    z = x @ w
+    part = np.logaddexp(0, z).mean() - prior * np.logaddexp(0, z[positive]).mean()
+    return prior * np.logaddexp(0, -z[positive]).mean() + max(0.0, part) + (pull * w * w).sum() / 2, part
+
+
+@pytest.mark.parametrize(("prior", "clamped"), [(0.3, False), (0.9, True)])
+def test_fit_minimises_the_non_negative_risk(spark, prior, clamped):
+    table, x, p, _ = _mixture(spark, 600, 0.6, 60)
+    made = quality_classifier.fit(table, prior, 0.02, 1.0)
+    std = (quality_classifier.expanded(x) - made.mean) / made.scale
+    pull = np.full(quality_classifier.WIDE, 0.02 + 1.0 / 60)
+    pull[0] = 1e-6
+    least, part = _risk(made.weights, std, p > 0, prior, pull)
+    assert made.step < 1e-4 and part > -1e-6 and math.isclose(part, made.negative_part, abs_tol=1e-4)
+    assert (made.multiplier < 1) == clamped and (abs(part) < 1e-4) == clamped
+    rng = np.random.default_rng(1)
+    for size in (1e-3, 1e-2, 0.1, 1.0):
+        assert all(_risk(made.weights + size * rng.normal(size=len(pull)), std, p > 0, prior, pull)[0] >= least - 1e-7 for _ in range(60))
+
+
+@pytest.mark.parametrize("share", [0.35, 0.8])
+def test_prior_comes_from_positives_and_unlabelled_rows(spark, share):
+    table, *_, good = _mixture(spark, 4000, share, 300)
+    assert abs(quality_classifier.estimated_prior(table) - good.mean()) < 0.06
+    assert quality_classifier.estimated_prior(table.withColumn("p", F.lit(0).cast("byte"))) is None
+
+
+def test_labels_of_zero_are_no_examples(spark):
+    """Scores are the same without any row labelled 0; with no trusted positive, or one, there still is a score."""
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    scores = lambda some: {r.doc_id: round(r.score, 6) for r in quality_classifier.quality_scores(d, some, fold(3) != 1).collect()}
+    assert scores(labels) == scores(labels.filter("quality = 1"))
+    assert set(scores(labels.filter("quality = 0")).values()) == {0.5}
+    one = scores(labels.filter("quality = 1").filter(fold(3) != 1).orderBy("doc_id").limit(1))
+    assert len(one) == 200 and all(0 <= s <= 1 for s in one.values())
+
+
 # --- BPE
 
 
