@@ -1,13 +1,15 @@
 """Best-fit packing of token sequences: local best fit, then rounds over the underfull bins.
 
-1. Each task cuts and packs what it reads, block by block, by best fit on falling lengths. A bin with at
-   most `slack` places left is done.
-2. Underfull bins become items. They are dealt by a hash to groups of about `group_items`, and
-   each group is packed by best fit again: partitions merge as their bins get fewer. Rounds end when
-   one group holds all that is left or a round hardly joins anything.
+1. Each task cuts and packs what it reads, block by block, by best fit on falling lengths.
+2. Underfull bins become items: those that have room for the smallest of them (no others can be joined with anything,
+   then or later). They are dealt by a hash to groups of about `group_items`, and each group is packed by best fit
+   again. Groups grow fourfold, up to `most_items`, when a round joins less than a fiftieth of its items.
 
-No task holds more than a block or a group, whatever the input. A bin that was put into another carries
-its offset; the few bins that moved are joined back to their pieces, round by round.
+Rounds end when no two bins that are left fit together: after best fit of one group of all that is left, or when the
+two smallest exceed a bin. Every round that starts joins something, since the smallest item fits all of its group.
+
+No task holds more than a block or a group (of pairs of numbers), whatever the input. A bin that was put into another
+carries its offset; the maps of the rounds are composed, and joined to the pieces once.
 
 Tokens: ids of the tokenizer's file (a parameter), then `end`. A sequence longer than `size` is cut
 into pieces of `size`, the first one taking what is left over.
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from sparkweft.llm.bpe import pieces, whole
 from sparkweft.llm.common import materialise
 
-SIZE, SLACK, GROUP_ITEMS, BLOCK = 2048, 8, 15_000, 50_000
+SIZE, GROUP_ITEMS, MOST_ITEMS, BLOCK = 2048, 15_000, 1_000_000, 50_000
 _TOGETHER = 32  # texts whose new pieces are encoded in one call
 
 
@@ -213,24 +215,39 @@ def _round(items: DataFrame, level: int, groups: int, size: int) -> DataFrame:
     return items.select("bin", "fill", slot).groupBy("slot").applyInPandas(run, "bin long, into long, offset long, fill long")
 
 
-def pack(pieces: DataFrame, size: int = SIZE, slack: int = SLACK, group_items: int = GROUP_ITEMS, most_rounds: int = 8) -> DataFrame:
+def pack(pieces: DataFrame, size: int = SIZE, group_items: int = GROUP_ITEMS, most_items: int = MOST_ITEMS) -> DataFrame:
     """pieces (as from tokenised) with sequence_id and offset after all rounds."""
-    placed = pieces.withColumnRenamed("bin", "sequence_id")
-    under = pieces.filter((F.col("offset") == 0) & (F.col("fill") < size - slack)).select("bin", "fill")
-    for level in range(1, most_rounds + 1):
-        n = under.count()
+    under = pieces.filter((F.col("offset") == 0) & (F.col("fill") < size)).select("bin", "fill")
+    moves, level = None, 0
+    while True:
+        least = under.agg(F.min("fill")).first()[0]
+        if least is None or 2 * least > size:
+            break
+        items = under.filter(F.col("fill") <= size - least)
+        n = items.count()
         if n < 2:
             break
-        groups = -(-n // group_items)
-        moved = materialise(_round(under, level, groups, size), "packed")
+        level, groups = level + 1, -(-n // group_items)
+        moved = materialise(_round(items, level, groups, size), "packed")
         step = moved.select(F.col("bin").alias("_bin"), F.col("into").alias("_into"), F.col("offset").alias("_at"))
-        placed = placed.join(step, F.col("sequence_id") == F.col("_bin"), "left").withColumns({"sequence_id": F.coalesce("_into", "sequence_id"), "offset": F.col("offset") + F.coalesce("_at", F.lit(0))}).drop("_bin", "_into", "_at")
-        under = moved.filter((F.col("offset") == 0) & (F.col("fill") < size - slack)).select(F.col("into").alias("bin"), "fill")
-        if groups == 1 or moved.filter("offset > 0").count() * 50 < n:
+        if moves is None:
+            moves = step
+        else:
+            step = step.withColumnsRenamed({"_bin": "_was", "_into": "_then", "_at": "_more"})
+            both = moves.join(step, F.col("_into") == F.col("_was"), "left")
+            moves = materialise(both.select("_bin", F.coalesce("_then", "_into").alias("_into"), (F.col("_at") + F.coalesce("_more", F.lit(0))).alias("_at")), "moves")
+        if groups == 1:
             break
-    return placed.drop("fill")
+        under = moved.filter("offset = 0").select(F.col("into").alias("bin"), "fill").filter(F.col("fill") < size)
+        if moved.filter("offset > 0").count() * 50 < n:
+            group_items = min(4 * group_items, most_items)
+    placed = pieces.drop("fill").withColumnRenamed("bin", "sequence_id")
+    if moves is None:
+        return placed
+    joined = placed.join(moves, F.col("sequence_id") == F.col("_bin"), "left")
+    return joined.withColumns({"sequence_id": F.coalesce("_into", "sequence_id"), "offset": F.col("offset") + F.coalesce("_at", F.lit(0))}).drop("_bin", "_into", "_at")
 
 
-def pack_documents(docs: DataFrame, path: str, end: int = 0, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", slack: int = SLACK, group_items: int = GROUP_ITEMS) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, end: int = 0, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", group_items: int = GROUP_ITEMS) -> DataFrame:
     """Tokenise, cut and pack; one row a piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(materialise(tokenised(docs, path, end, size, id_col, text_col), "pieces"), size, slack, group_items).withColumnRenamed("id", id_col)
+    return pack(materialise(tokenised(docs, path, end, size, id_col, text_col), "pieces"), size, group_items).withColumnRenamed("id", id_col)

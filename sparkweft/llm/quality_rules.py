@@ -3,15 +3,20 @@
 Signals of a text are rates per thousand, so whole numbers from 0 up:
 symbols per word character, words in repeated 3-word windows, repeated lines beyond the first (a short
 text may well have one), and word length.
-The sketch of a signal is its histogram over buckets of fixed width, kept per (language, source).
-Such sketches merge by adding counts, in any order, so map tasks combine before the shuffle, a hot
-source is no hot key, and results are the same in every run. Languages and the whole table have the
-merged sketches of their sources.
 
-A cutoff is the median plus `spread` times the distance from the lower decile to the median (at least
-`least`). It uses the lower half only, so that junk in up to half of a source cannot lift it. Word
-length has a cutoff on either side. A source with fewer than `group_rows` rows uses its language's
-sketch, a small language the table's. Rows are then joined with the cutoffs of their group.
+The sketch of a signal is a relative-error one (DDSketch: Masson, Rim and Lee, 2019), kept per (language, source): a
+value x lies in bucket ceil(log_g x) with g = (1 + ERROR) / (1 - ERROR), zero in one of its own, and a bucket stands for
+2 g^i / (g + 1). Any quantile read off it is within ERROR (one percent) of the value it is an estimate of, whatever the
+distribution; up to about 50 whole numbers have buckets of their own. Such sketches merge by adding counts, in any
+order, so map tasks combine before the shuffle, a hot source is no hot key, and results are the same in every run.
+A sketch has some 700 buckets at the most. Languages and the whole table have the merged sketches of their sources.
+
+A cutoff is the median plus `spread` times the distance from the lower decile to the median. It uses the lower half only,
+so that junk in up to half of a source cannot lift it. A distance counts as `least` at the least: where most
+texts have none of something (both quantiles are zero), so small a rate says nothing. Word length has a cutoff on either
+side. Quantiles of a source lean on its language's, and those on the table's, by n to SHRINK, n being the
+rows seen: a source of few rows has nearly its language's cutoffs, and there is no size at which they jump.
+Rows are then joined with the cutoffs of their group.
 
 Defined results: null text has no words (and fails the base rules); null lang or source is a group
 of its own; an empty table gives an empty result; extra columns are ignored.
@@ -19,20 +24,27 @@ of its own; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkweft.llm.common import SPACES, WORD, materialise, text_of
 
 SYMBOLS = "#*$%&|<>"
-#: signal: (bucket width, spread, least distance, sides)
+#: signal: (spread, least distance, sides)
 RULES = {
-    "symbol_rate": (2, 8, 5, "upper"),
-    "repeat_rate": (5, 6, 60, "upper"),
-    "dup_line_rate": (5, 8, 30, "upper"),
-    "word_length": (10, 6, 50, "both"),
+    "symbol_rate": (8, 5, "upper"),
+    "repeat_rate": (6, 60, "upper"),
+    "dup_line_rate": (8, 30, "upper"),
+    "word_length": (6, 50, "both"),
 }
-GROUP_ROWS = 50
+#: Relative error of a quantile, and the rows at which a group's own quantiles weigh as much as those of what it is part of.
+ERROR, SHRINK = 0.01, 50
+_G = (1 + ERROR) / (1 - ERROR)
+#: Expressions that Spark's SQL and others have alike.
+_BUCKET = f"case when {{x}} = 0 then 0 else 1 + cast(ceil(ln({{x}}) / {math.log(_G)!r} - 1e-9) as bigint) end"
+_VALUE = f"case when {{b}} = 0 then 0.0 else round(2 * pow(cast({_G!r} as double), {{b}} - 1) / {_G + 1!r}, 6) end"
 
 
 def base_signals(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source"), text_col: str = "text") -> DataFrame:
@@ -84,46 +96,47 @@ def with_rates(signals: DataFrame) -> DataFrame:
 
 
 def sketches(rates: DataFrame) -> DataFrame:
-    """lang, source, signal, bucket, rows: the mergeable histograms of the rows that pass the base rules.
+    """lang, source, signal, bucket, rows: the mergeable sketches of the rows that pass the base rules.
 
     Each map task sends at most one row a bucket, so the shuffle is bounded by groups and buckets, not by rows.
     """
     long = rates.filter("not base_failed").select(
         "lang", "source",
-        F.explode(F.array(*(F.struct(F.lit(s).alias("signal"), F.expr(f"{s} div {w}").alias("bucket")) for s, (w, *_) in RULES.items()))).alias("x"),
+        F.explode(F.array(*(F.struct(F.lit(s).alias("signal"), F.expr(_BUCKET.format(x=s)).alias("bucket")) for s in RULES))).alias("x"),
     )
     return long.groupBy("lang", "source", F.col("x.signal").alias("signal"), F.col("x.bucket").alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _quantiles(spark_frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Median and lower decile (bucket starts) and rows of each group's merged sketch."""
-    merged = spark_frame.groupBy(*keys, "signal", "bucket").agg(F.sum("rows").alias("rows"))
+def quantiles(found: DataFrame, keys: list[str]) -> DataFrame:
+    """n (rows), q50 and q10 (median and lower decile) of each group's merged sketch."""
+    merged = found.groupBy(*keys, "signal", "bucket").agg(F.sum("rows").alias("rows"))
     hist = merged.groupBy(*keys, "signal").agg(F.sum("rows").alias("n"), F.array_sort(F.collect_list(F.struct("bucket", "rows"))).alias("h"))
 
     def at(part: str) -> str:
         return f"aggregate(h, named_struct('seen', 0L, 'at', cast(null as bigint)), (a, x) -> named_struct('seen', a.seen + x.rows, 'at', coalesce(a.at, if({part} * (a.seen + x.rows) >= n, x.bucket, cast(null as bigint)))), a -> a.at)"
 
-    return hist.select(*keys, "signal", "n", F.expr(at("2")).alias("q50"), F.expr(at("10")).alias("q10"))
+    picked = hist.select(*keys, "signal", "n", F.expr(at("2")).alias("b50"), F.expr(at("10")).alias("b10"))
+    return picked.select(*keys, "signal", "n", F.expr(_VALUE.format(b="b50")).cast("double").alias("q50"), F.expr(_VALUE.format(b="b10")).cast("double").alias("q10"))
 
 
-def cutoffs(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """lang, source and low_/high_ of each signal, falling back to the language and to the table."""
-    own, lang, whole = _quantiles(found, ["lang", "source"]), _quantiles(found, ["lang"]), _quantiles(found, [])
-    pick = lambda q: F.when(F.col("o.n") >= group_rows, F.col(f"o.{q}")).when(F.col("l.n") >= group_rows, F.col(f"l.{q}")).otherwise(F.col(f"w.{q}"))
+def cutoffs(found: DataFrame, shrink: int = SHRINK) -> DataFrame:
+    """lang, source and low_/high_ of each signal; quantiles lean on the language's, and those on the table's."""
+    own, lang, whole = quantiles(found, ["lang", "source"]), quantiles(found, ["lang"]), quantiles(found, [])
+    lean = lambda q: F.expr(f"(o.n * o.{q} + {shrink} * ((l.n * l.{q} + {shrink} * w.{q}) / (l.n + {shrink}))) / (o.n + {shrink})")
     # Joins of tables with a row for each source: null keys match.
     joined = (
         own.alias("o")
         .join(lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.signal") == F.col("l.signal")))
         .join(whole.alias("w"), F.col("o.signal") == F.col("w.signal"))
-        .select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.col("o.signal").alias("signal"), pick("q50").alias("q50"), pick("q10").alias("q10"))
+        .select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.col("o.signal").alias("signal"), lean("q50").alias("q50"), lean("q10").alias("q10"))
     )
     aggs = []
-    for s, (w, spread, least, sides) in RULES.items():
+    for s, (spread, least, sides) in RULES.items():
         is_s = F.col("signal") == s
-        reach = spread * F.greatest((F.col("q50") - F.col("q10")) * w, F.lit(least))
-        aggs.append(F.max(F.when(is_s, F.col("q50") * w + reach)).alias(f"high_{s}"))
+        reach = spread * F.greatest(F.col("q50") - F.col("q10"), F.lit(float(least)))
+        aggs.append(F.max(F.when(is_s, F.round(F.col("q50") + reach, 6))).alias(f"high_{s}"))
         if sides == "both":
-            aggs.append(F.max(F.when(is_s, F.col("q50") * w - reach)).alias(f"low_{s}"))
+            aggs.append(F.max(F.when(is_s, F.round(F.col("q50") - reach, 6))).alias(f"low_{s}"))
     return joined.groupBy("lang", "source").agg(*aggs)
 
 
@@ -152,20 +165,22 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col
 
 
 #: The same in DuckDB, from the same table of rules.
-_BUCKETS = ", ".join(f"('{s}', {s} // {w})" for s, (w, *_) in RULES.items())
-_LIMIT_ROWS = ", ".join(f"('{s}', {w}, {spread}, {least}, {str(sides == 'both').lower()})" for s, (w, spread, least, sides) in RULES.items())
+_BUCKETS = ", ".join(f"('{s}', {_BUCKET.format(x=s)})" for s in RULES)
+_LIMIT_ROWS = ", ".join(f"('{s}', {spread}, {least}, {str(sides == 'both').lower()})" for s, (spread, least, sides) in RULES.items())
 
 
 def _sql_quantiles(name: str, keys: str) -> str:
     on = f"{keys}, " if keys else ""
     return f"""
     {name} AS (
-        SELECT {on}signal, max(n) AS n, min(bucket) FILTER (2 * seen >= n) AS q50, min(bucket) FILTER (10 * seen >= n) AS q10
-        FROM (SELECT {on}signal, bucket, sum(rows) OVER (PARTITION BY {on}signal ORDER BY bucket) AS seen, sum(rows) OVER (PARTITION BY {on}signal) AS n
-              FROM (SELECT {on}signal, bucket, sum(rows) AS rows FROM hist GROUP BY ALL))
-        GROUP BY ALL)"""
+        SELECT {on}signal, n, ({_VALUE.format(b="b50")})::DOUBLE AS q50, ({_VALUE.format(b="b10")})::DOUBLE AS q10 FROM (
+            SELECT {on}signal, max(n) AS n, min(bucket) FILTER (2 * seen >= n) AS b50, min(bucket) FILTER (10 * seen >= n) AS b10
+            FROM (SELECT {on}signal, bucket, sum(rows) OVER (PARTITION BY {on}signal ORDER BY bucket) AS seen, sum(rows) OVER (PARTITION BY {on}signal) AS n
+                  FROM (SELECT {on}signal, bucket, sum(rows) AS rows FROM hist GROUP BY ALL))
+            GROUP BY ALL))"""
 
 
+_LEAN = f"(o.n * o.{{q}} + {SHRINK} * ((l.n * l.{{q}} + {SHRINK} * w.{{q}}) / (l.n + {SHRINK}))) / (o.n + {SHRINK}) AS {{q}}"
 QUALITY_SQL = f"""
 WITH words AS (
     SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -191,13 +206,12 @@ hist AS (
     SELECT lang, source, signal, bucket, count(*) AS rows FROM rates, LATERAL (VALUES {_BUCKETS}) AS x(signal, bucket) WHERE NOT base_failed GROUP BY ALL),
 {_sql_quantiles("own", "lang, source")}, {_sql_quantiles("by_lang", "lang")}, {_sql_quantiles("whole", "")},
 picked AS (
-    SELECT o.lang, o.source, o.signal, CASE WHEN o.n >= {GROUP_ROWS} THEN o.q50 WHEN l.n >= {GROUP_ROWS} THEN l.q50 ELSE w.q50 END AS q50,
-           CASE WHEN o.n >= {GROUP_ROWS} THEN o.q10 WHEN l.n >= {GROUP_ROWS} THEN l.q10 ELSE w.q10 END AS q10
+    SELECT o.lang, o.source, o.signal, {_LEAN.format(q="q50")}, {_LEAN.format(q="q10")}
     FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.signal = l.signal JOIN whole w ON o.signal = w.signal),
 limits AS (
-    SELECT lang, source, signal, q50 * width + spread * greatest((q50 - q10) * width, least_) AS high,
-           CASE WHEN both_ THEN q50 * width - spread * greatest((q50 - q10) * width, least_) END AS low
-    FROM picked JOIN (VALUES {_LIMIT_ROWS}) AS x(signal, width, spread, least_, both_) USING (signal)),
+    SELECT lang, source, signal, round(q50 + spread * greatest(q50 - q10, least_), 6) AS high,
+           CASE WHEN both_ THEN round(q50 - spread * greatest(q50 - q10, least_), 6) END AS low
+    FROM picked JOIN (VALUES {_LIMIT_ROWS}) AS x(signal, spread, least_, both_) USING (signal)),
 wide AS (
     SELECT lang, source, {", ".join(f"max(high) FILTER (signal = '{s}') AS high_{s}, max(low) FILTER (signal = '{s}') AS low_{s}" for s in RULES)} FROM limits GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

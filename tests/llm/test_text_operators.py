@@ -157,6 +157,30 @@ def test_quality_rules(docs, rows):
     assert Counter((r.doc_id, r.kept) for r in got) == want
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(0, 5000), min_size=1, max_size=300), st.integers(1, 4))
+def test_quantiles_of_merged_sketches(spark, values, parts):
+    """Sketches of parts, merged, give the quantiles of the whole within the stated error."""
+    rates = spark.createDataFrame([(f"s{k % parts}", v) for k, v in enumerate(values)], "source string, word_length long").selectExpr("'en' lang", "source", "false base_failed", "word_length", "0L symbol_rate", "0L repeat_rate", "0L dup_line_rate")
+    got = quality.quantiles(quality.sketches(rates), ["lang"]).filter("signal = 'word_length'").first()
+    for q, share in (("q50", 2), ("q10", 10)):
+        want = sorted(values)[-(-len(values) // share) - 1]
+        assert abs(got[q] - want) <= quality.ERROR * want + 1e-6
+    assert got["n"] == len(values)
+
+
+def test_cutoffs_do_not_jump_with_the_size_of_a_source(spark):
+    """A row more or less moves a source's cutoffs little, at any size."""
+    def limits(n: int) -> float:
+        rows = [("big", 500 + k % 40) for k in range(400)] + [("small", 700 + k % 9) for k in range(n)]
+        rates = spark.createDataFrame(rows, "source string, word_length long").selectExpr("'en' lang", "source", "false base_failed", "word_length", "0L symbol_rate", "0L repeat_rate", "0L dup_line_rate")
+        return quality.cutoffs(quality.sketches(rates)).filter("source = 'small'").first()["high_word_length"]
+
+    found = {n: limits(n) for n in (1, 2, 48, 49, 50, 51, 300, 301)}
+    assert all(abs(found[a] - found[b]) < 6 for a, b in ((1, 2), (48, 49), (49, 50), (50, 51), (300, 301)))
+    assert found[1] < found[50] < found[300]
+
+
 def _base_findings(text: str) -> list[tuple[int, str, int]]:
     out = [(m.start(), "assign", m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 6]
     out += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
