@@ -216,6 +216,85 @@ def test_scores(docs, rows):
     assert all(r.score < 0 for r in got)
 
 
+class PlainKneserNey:
+    """Interpolated modified Kneser-Ney from its definition, over dictionaries of word tuples."""
+
+    def __init__(self, texts: list[str], order: int):
+        self.order, self.counts = order, {k: Counter() for k in range(1, order + 1)}
+        words = Counter()
+        for t in texts:
+            tokens = ["\n"] * (order - 1) + self.tokens(t)
+            words.update(tokens[order - 1 :])
+            self.counts[order].update(tuple(tokens[k : k + order]) for k in range(len(tokens) - order + 1))
+        for k in range(order - 1, 0, -1):
+            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
+        self.types = len(words)
+        self.d, self.after = {}, {}
+        for k, counts in self.counts.items():
+            n = [sum(c == j for c in counts.values()) for j in (1, 2, 3, 4)]
+            y = n[0] / (n[0] + 2 * n[1]) if min(n) else 0
+            d = [min(max(j + 1 - (j + 2) * y * n[j + 1] / n[j], 0.05), j + 0.95) for j in range(3)] if min(n) else [0.5, 0.75, 0.9]
+            self.d[k] = [0.0, *d]
+            self.after[k] = {}
+            for g, c in counts.items():
+                self.after[k].setdefault(g[:-1], []).append(c)
+
+    @staticmethod
+    def tokens(t: str) -> list[str]:
+        return [*WORD.findall(lower_az(t)), "\n"]
+
+    def p(self, gram: tuple) -> float:
+        k = len(gram)
+        if k == 0:
+            return 1 / (self.types + 1)
+        found = self.after[k].get(gram[:-1])
+        if not found:
+            return self.p(gram[1:])
+        c, d = self.counts[k][gram], self.d[k]
+        return max(c - d[min(c, 3)], 0) / sum(found) + sum(d[min(x, 3)] for x in found) / sum(found) * self.p(gram[1:])
+
+    def score(self, t: str) -> float:
+        tokens = ["\n"] * (self.order - 1) + self.tokens(t)
+        return sum(math.log10(self.p(tuple(tokens[k : k + self.order]))) for k in range(len(tokens) - self.order + 1))
+
+
+def _corpus(seed: int) -> tuple[list[str], list[str]]:
+    """Training texts, some of them repeated, and others with words never seen."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{k}" for k in range(40)]
+    draw = lambda pool, n: " ".join(pool[min(int(x), len(pool) - 1)] for x in rng.exponential(len(pool) / 5, n))
+    texts = [draw(words, int(rng.integers(0, 40))) for _ in range(60)]
+    return [*texts, *texts[:5], "", "w1"], [draw([*words, "never", "unseen"], int(rng.integers(0, 30))) for _ in range(20)] + ["", "Never W1 w1", "w1"]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("bits", [None, 1])
+def test_scores_are_those_of_the_definition(spark, monkeypatch, order, bits):
+    """With one bit hot contexts lie in several buckets."""
+    texts, others = _corpus(order)
+    plain = PlainKneserNey(texts, order)
+    if bits:
+        monkeypatch.setattr(kneser_ney, "bits_for", lambda tasks: bits)
+    monkeypatch.setattr(kneser_ney, "BLOCK_CHARS", 500)
+    d = spark.createDataFrame([(k, t, k < len(texts)) for k, t in enumerate(texts + others)], "doc_id long, text string, t boolean").repartition(3)
+    got = {r.doc_id: r.score for r in kneser_ney.lm_scores(d, F.col("t"), order=order).collect()}
+    for k, t in enumerate(texts + others):
+        assert math.isclose(got[k], plain.score(t), rel_tol=1e-9, abs_tol=1e-9), (k, t)
+
+
+def test_spread_contexts(spark, monkeypatch):
+    """Contexts of frequent words are spread over buckets, others are not, and both give the scores of the definition."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(["the"] * 3 + [f"w{int(x)}" for x in rng.integers(0, 300, 20)] + ["the", "of", f"w{int(rng.integers(0, 300))}"]) for _ in range(80)]
+    monkeypatch.setattr(kneser_ney, "bits_for", lambda tasks: 5)
+    d = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    shape = kneser_ney.train(d)
+    assert set(shape.several(np.array([1, 240])).tolist()) != {1}
+    plain = PlainKneserNey(texts, 3)
+    for r in kneser_ney.lm_scores(d, F.lit(True)).collect():
+        assert math.isclose(r.score, plain.score(texts[r.doc_id]), rel_tol=1e-9)
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all words of the vocabulary, and one share for any other, after any context."""
     texts = ["a b a c a b d", "b a b b c", "c a d", "a b"] * 2 + ["e a b c d e f g h i", "a c a d a e"]
@@ -223,14 +302,14 @@ def test_probabilities_sum_to_one(spark):
     words = sorted({w for t in texts for w in t.split()})
     hashes = kneser_ney.WordHashes()
     one = lambda w: np.array([kneser_ney.END if w == "\n" else hashes[w]], np.uint64)
-    for context in ["\n", "a", "b", "c", "d", "i", "never"]:
+    for context in ["", "a", "b", "a b", "b a", "c", "i", "never", "a never", "never a"]:
+        before = [one(w) for w in context.split()]
         total = 0.0
         for w in [*words, "\n", "unseen"]:
-            h = np.concatenate([one(context), one(w)])
-            # The last token of a text is the first one's context, so a text of two scores the second after the first.
-            _, _, score = kneser_ney.token_scores(shape, h, np.array([2]))
-            total += 10 ** float(score[1])
-        assert math.isclose(total, 1.0, rel_tol=1e-6), context
+            h = np.concatenate([*before, one(w)])
+            _, _, score = kneser_ney.token_scores(shape, h, np.array([len(h)]))
+            total += 10 ** float(score[-1])
+        assert math.isclose(total, 1.0, rel_tol=1e-9), context
 
 
 def test_scores_without_training_rows(spark):
