@@ -26,7 +26,7 @@ from sparkweft.operators.store import Warehouse
 from sparkweft.session import cut_lineage
 from sparkweft.sources import files, web
 
-_KNOBS = {"max-pages": int, "max-depth": int, "max-runtime-minutes": int, "max-failures": int, "max-total-bytes": int, "chunk-size": int, "chunk-overlap": int, "min-section-length": int, "embedding-provider": str, "embedding-model": str, "embedding-dimension": int, "device": str, "lexical-limit": int, "vector-limit": int, "fused-limit": int, "rrf-k": int}
+_KNOBS = {"max-pages": int, "max-depth": int, "max-runtime-minutes": int, "max-failures": int, "max-total-bytes": int, "retry-attempts": int, "retry-backoff": float, "toc-fallback-below": int, "chunk-size": int, "chunk-overlap": int, "min-section-length": int, "embedding-provider": str, "embedding-model": str, "embedding-dimension": int, "device": str, "lexical-limit": int, "vector-limit": int, "fused-limit": int, "rrf-k": int}
 _LISTS = ("allowed-domains", "allowed-path-prefixes", "sitemap-urls", "toc-selectors", "include-patterns", "exclude-patterns")
 
 
@@ -38,10 +38,11 @@ def crawl(spark: SparkSession, config: Config, warehouse: Warehouse, pages: str
         start, blocked = discovery.starting(config, spark)
     else:
         make = lambda: web.UrlFetcher(config.user_agent)
-        source = lambda urls: web.fetch_table(urls, make, config.retry_attempts)
+        source = lambda urls: web.fetch_table(urls, make, config.retry_attempts, config.retry_backoff)
         robots = web.fetch(spark.createDataFrame([(urljoin(config.root_url, "/robots.txt"),)], "url string"), make, 1).first()
-        named = list(dict.fromkeys([*config.sitemap_urls, *web.parse_robots(robots.html, config.root_url)[1]]))
-        start, blocked = discovery.starting(config, spark, robots.html, True, web.fetch(spark.createDataFrame([(u,) for u in named], "url string"), make, 1).filter("html is not null"))
+        rules, readable = web.robots_of(robots)
+        named = list(dict.fromkeys([*config.sitemap_urls, *web.parse_robots(rules, config.root_url, readable)[1]]))
+        start, blocked = discovery.starting(config, spark, rules, readable, web.fetch(spark.createDataFrame([(u,) for u in named], "url string"), make, 1).filter("html is not null"))
     found = discovery.discover(start, source, None, config)
     found = found._replace(skipped=found.skipped.unionByName(blocked))
     paths = data_paths(warehouse.path, config.collection)
@@ -63,13 +64,13 @@ def index(spark: SparkSession, config: Config, warehouse: Warehouse, found: disc
     warehouse.replace_chunks(urls, made.chunks)
     run = spark.range(1).select(F.sha2(F.current_timestamp().cast("string"), 256).alias("run_id"), F.lit(config.collection).alias("collection"), F.current_timestamp().alias("started_at"), F.lit(found.stopped_reason).alias("status"), F.array(F.lit(config.root_url)).alias("seed_urls"))
     warehouse.upsert("crawl_runs", run)
-    report = coverage.coverage_report(found.inventory, warehouse.read("raw_documents").filter(F.col("collection") == config.collection), found.skipped, found.stopped_reason)
+    report = coverage.coverage_report(found.inventory, warehouse.read("raw_documents", [config.collection]), found.skipped, found.stopped_reason)
     files.write_report(spark, report, data_paths(warehouse.path, config.collection)["coverage"])
     return {**stats(made), "coverage_ratio": report["coverage_ratio"], "stopped_reason": found.stopped_reason}
 
 
 def retriever(config: Config, warehouse: Warehouse) -> HybridRetriever:
-    chunks = warehouse.read("chunks").filter(F.col("collection") == config.collection)
+    chunks = warehouse.read("chunks", [config.collection])
     return HybridRetriever(chunks, build_embedder(config), config.lexical_limit, config.vector_limit, config.fused_limit, config.rrf_k)
 
 
@@ -80,7 +81,7 @@ def answer(config: Config, warehouse: Warehouse, queries: dict[int, str], keep_t
         plain = lambda n: F.transform(n, lambda h: h.dropFields("rank"))
         warehouse.append_trace(traces.withColumns({n: plain(n) for n in ("lexical_hits", "vector_hits", "fused_hits")}))
     hits = traces.select("query", F.explode("fused_hits").alias("h")).select("query", "h.*")
-    return graph.hierarchy_of(hits, warehouse.read("discovered_nodes").filter(F.col("collection") == config.collection))
+    return graph.hierarchy_of(hits, warehouse.read("discovered_nodes", [config.collection]))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

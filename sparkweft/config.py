@@ -15,7 +15,11 @@ EXCLUDE_PATTERNS = ("/search", "/genindex", "/py-modindex", "/login", "/logout")
 
 @dataclass(frozen=True)
 class Config:
-    """All knobs; 0 (for max_depth: a negative number) means no limit."""
+    """All knobs; 0 (for max_depth: a negative number) means no limit.
+
+    toc_fallback_below: of a page with fewer entries in its tables of contents than this, all links are followed (5 is
+    usual where pages are rendered). retry_backoff: seconds between attempts.
+    """
 
     root_url: str
     collection: str = ""
@@ -25,14 +29,16 @@ class Config:
     toc_selectors: tuple[str, ...] = TOC_SELECTORS
     include_patterns: tuple[str, ...] = ()
     exclude_patterns: tuple[str, ...] = EXCLUDE_PATTERNS
-    max_pages: int = 0
-    max_depth: int = -1
+    max_pages: int = 300
+    max_depth: int = 2
     max_runtime_minutes: int = 0
     max_failures: int = 0
     max_total_bytes: int = 0
     respect_robots_for_toc: bool = False
-    user_agent: str = field(default_factory=lambda: os.environ.get("RAG_USER_AGENT", "sparkweft/0.1"))
+    user_agent: str = field(default_factory=lambda: os.environ.get("SPARKWEFT_USER_AGENT", "sparkweft/0.1"))
     retry_attempts: int = 3
+    retry_backoff: float = 2.0
+    toc_fallback_below: int = 0
     chunk_size: int = 1200
     chunk_overlap: int = 150
     min_section_length: int = 80
@@ -57,7 +63,7 @@ def build_config(root_url: str, **knobs) -> Config:
         raise ValueError(f"not an absolute http(s) URL: {root_url!r}")
     knobs = {k: tuple(v) if isinstance(v, list) else v for k, v in knobs.items() if v is not None}
     prefix = scope_prefix(root_url)
-    knobs.setdefault("collection", os.environ.get("RAG_COLLECTION") or collection_name(root_url))
+    knobs.setdefault("collection", os.environ.get("SPARKWEFT_COLLECTION") or collection_name(root_url))
     knobs.setdefault("allowed_domains", (parts.netloc.lower(),))
     if prefix:
         knobs.setdefault("allowed_path_prefixes", (prefix,))

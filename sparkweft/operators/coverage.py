@@ -72,3 +72,9 @@ def coverage_report(inventory: DataFrame, documents: DataFrame, skipped: DataFra
         "source_distribution": _as_map(distribution(inventory, "source"), "key"), "depth_distribution": _as_map(distribution(inventory, "depth"), "key"),
         "skipped_by_reason": _as_map(distribution(skipped, "reason"), "key"), **totals.first().asDict(), "seed_toc_level1_rejected_by_reason": _as_map(rejected, "reason"),
     }
+
+
+def processed_or_skipped(inventory: DataFrame, documents: DataFrame, skipped: DataFrame) -> DataFrame:
+    """Each URL once that was both expected and crawled, or was skipped."""
+    expected, crawled, left_out = (d.select("canonical_url") for d in (inventory, documents, skipped))
+    return expected.intersect(crawled).union(left_out).distinct()

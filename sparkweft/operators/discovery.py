@@ -75,10 +75,15 @@ def _reason(config: Config) -> Column:
 
 def links_of(fetched: DataFrame, config: Config) -> DataFrame:
     """parent, url, text, level, ord of the tables of contents of fetched pages (url, final_url, html)."""
-    entries = toc_entries(F.col("html"), F.coalesce("final_url", "url"), config.toc_selectors)
+    entries = toc_entries(F.col("html"), F.coalesce("final_url", "url"), config.toc_selectors, config.toc_fallback_below)
     return fetched.filter("html is not null").select(F.col("url").alias("parent"), F.explode(entries).alias("e")).select("parent", "e.*")
 
 
+def first_places(wave: DataFrame, key: str = "canonical_url", good: Column | None = None) -> DataFrame:
+    """key, pos: the first place in the wave of each key (among good rows). Tasks combine first, so a link of all pages is no hot key."""
+    return wave.groupBy(key).agg(F.min("pos" if good is None else F.when(good, F.col("pos"))).alias("pos"))
+
+
 def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Config, robots: str | None = None) -> DataFrame:
     """wave with fetched (its bytes, null if it cannot be) and outcome: record, duplicate, fetch_error or a scope rule."""
     reason = _reason(config)
@@ -93,8 +98,8 @@ def judged(wave: DataFrame, pages: DataFrame, seen: DataFrame | None, config: Co
         known = seen.select(F.col("canonical_url").alias("_k")).distinct()
         d = d.join(known, F.col("canonical_url") == F.col("_k"), "left").withColumn("_seen", F.col("_k").isNotNull()).drop("_k")
     good = (F.col("_reason") == "allowed") & F.col("_bytes").isNotNull()
-    first = F.min(F.when(good, F.col("pos"))).over(Window.partitionBy("canonical_url"))
-    d = d.withColumn("_first", first)
+    first = first_places(d, good=good).select(F.col("canonical_url").alias("_k"), F.col("pos").alias("_first"))
+    d = d.join(first, F.col("canonical_url").eqNullSafe(F.col("_k")), "left").drop("_k")
     outcome = F.when(F.col("_seen") | (F.col("pos") > F.col("_first")), "duplicate").when(F.col("_reason") != "allowed", F.col("_reason")).when(F.col("_bytes").isNull(), "fetch_error").otherwise("record")
     return d.withColumn("outcome", outcome).drop("_reason", "_seen", "_first").withColumnRenamed("_bytes", "fetched")
 

@@ -58,16 +58,25 @@ def reciprocal_rank_fusion(hits: DataFrame, k: int = 60, limit: int | None = 8,
     return (out if limit is None else out.filter(F.col("rank") <= limit)).drop("_seen")
 
 
-def hits_of(lists: list[DataFrame], id_col: str = "chunk_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Ranked lists as one frame with list_ix (rank: score falling, then id, unless the list has one)."""
+def hits_of(lists: list[DataFrame], id_col: str = "chunk_id", keep: tuple[str, ...] = (), limit: int = 1000) -> DataFrame:
+    """Ranked lists as one frame with list_ix. A list without ranks is cut to its best `limit` (score falling, then id) before they are numbered."""
     out = None
     for k, one in enumerate(lists):
-        ranked = one if "rank" in one.columns else fts.ranked(one.withColumn("_all", F.lit(0)), 1 << 30, id_col, ("_all",)).drop("_all")
+        ranked = one
+        if "rank" not in one.columns:
+            best = one.orderBy(F.col("score").desc(), id_col).limit(limit)
+            ranked = fts.ranked(best.withColumn("_all", F.lit(0)), limit, id_col, ("_all",)).drop("_all")
         part = ranked.select(*keep, F.lit(k).alias("list_ix"), "rank", id_col, "score")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def listed(hits: DataFrame, id_col: str = "chunk_id") -> DataFrame:
+    """list_ix, ids: the ids of each list in the order of their ranks, joined by commas, as a trace keeps them."""
+    ids = F.array_sort(F.collect_list(F.struct("rank", id_col)))
+    return hits.groupBy("list_ix").agg(F.array_join(F.transform(ids, lambda s: s[id_col].cast("string")), ",").alias("ids"))
+
+
 class HybridRetriever:
     """Both branches over one chunks table, for a batch of queries at once."""
 
@@ -77,11 +86,11 @@ class HybridRetriever:
         self.index = fts.postings(chunks, "chunk_id") if index is None else index
 
     def branches(self, queries: dict[int, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Lexical, vector and fused hits: query_id, chunk_id, score, rank."""
-        lexical = fts.ranked(fts.search(self.index, queries, "chunk_id", self.chunks.select("chunk_id")), self.limits[0], "chunk_id")
+        """Lexical, vector and fused hits: query_id, chunk_id, score, rank. The first two are kept (a few rows a query), so that each is found once."""
+        lexical = cut_lineage(fts.ranked(fts.search(self.index, queries, "chunk_id", self.chunks.select("chunk_id")), self.limits[0], "chunk_id"))
         spark = self.chunks.sparkSession
         vectors = spark.createDataFrame([(q, self.embedder.embed_query(t)) for q, t in queries.items()], "query_id int, query_vector array<float>")
-        vector = vector_topk_batch(self.chunks, vectors, self.limits[1])
+        vector = cut_lineage(vector_topk_batch(self.chunks, vectors, self.limits[1]))
         fused = reciprocal_rank_fusion(hits_of([lexical, vector], keep=("query_id",)), self.k, self.limits[2], by=("query_id",))
         return lexical, vector, fused.drop("first_score")
 

@@ -107,10 +107,8 @@ def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retrieval_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = retrieve.hits_of(_branches(spark, sf_dir), "doc_id")
     fused = retrieve.reciprocal_rank_fusion(hits, 60, 8, "doc_id").select(F.lit(2).alias("list_ix"), "rank", "doc_id", "score")
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_id"))), lambda s: s["doc_id"].cast("string")), ",")
-    lists = hits.unionByName(fused).groupBy("list_ix").agg(listed.alias("ids"))
     pick = lambda k: F.max(F.when(F.col("list_ix") == k, F.col("ids")))
-    return lists.agg(F.lit(" ".join(TERMS)).alias("query"), pick(0).alias("lexical_hits"), pick(1).alias("vector_hits"), pick(2).alias("fused_hits"))
+    return retrieve.listed(hits.unionByName(fused), "doc_id").agg(F.lit(" ".join(TERMS)).alias("query"), pick(0).alias("lexical_hits"), pick(1).alias("vector_hits"), pick(2).alias("fused_hits"))
 
 
 @query()
@@ -404,8 +402,7 @@ def level1_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_INV} SELECT canonical_url FROM inventory INTERSECT SELECT canonical_url FROM crawled UNION SELECT canonical_url FROM skipped")
 def url_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, c, s = (d.select("canonical_url") for d in _crawl(spark, sf_dir))
-    return i.intersect(c).union(s).distinct()
+    return coverage.processed_or_skipped(*_crawl(spark, sf_dir))
 
 
 # --- discovery
@@ -414,15 +411,15 @@ def url_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of the pages as one wave, in queue order; a page's own address is what its links are resolved from."""
     p = read(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("ord", "href"))
-    return p.select((F.col("page_id") * 1000 + F.col("ord")).alias("pos"), F.concat(F.lit("https://example.com"), F.col("href")).alias("url"))
+    return p.select((F.col("page_id") * 1000000 + F.col("ord")).alias("pos"), F.concat(F.lit("https://example.com"), F.col("href")).alias("url"))
 
 
-_WAVE = """wave AS (SELECT page_id * 1000 + k - 1 AS pos, 'https://example.com' || href AS url FROM (SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS k FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)))"""
+_WAVE = """wave AS (SELECT page_id * 1000000 + k - 1 AS pos, 'https://example.com' || href AS url FROM (SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS k FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)))"""
 
 
 @query(f"WITH {_WAVE} SELECT min(pos) AS pos, url FROM wave GROUP BY url")
 def frontier_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _frontier(spark, sf_dir).groupBy("url").agg(F.min("pos").alias("pos"))
+    return discovery.first_places(_frontier(spark, sf_dir), "url")
 
 
 @query(f"WITH {_WAVE} SELECT pos, url FROM (SELECT pos, url, row_number() OVER (PARTITION BY url ORDER BY pos) AS rn FROM wave) WHERE rn > 1")
@@ -435,7 +432,7 @@ def duplicate_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_WAVE} SELECT pos, url FROM (SELECT pos, url, coalesce(sum(length(url)) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM wave) WHERE before < 5000")
 def guard_rail_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.running(_frontier(spark, sf_dir), {"before": F.length("url").cast("long")}, bits=16).filter("before < 5000").select("pos", "url")
+    return discovery.running(_frontier(spark, sf_dir), {"before": F.length("url").cast("long")}, bits=26).filter("before < 5000").select("pos", "url")
 
 
 @query(
@@ -525,7 +522,7 @@ def replace_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, lang FROM documents WHERE lang <> 'en'")
 def clear_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", "lang").filter(F.col("lang") != "en")
+    return store.without(read(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "en")
 
 
 @query("SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')")
@@ -535,17 +532,17 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT d.doc_id, d.lang, l.quality FROM documents d JOIN labels l USING (doc_id)")
 def docs_with_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", "lang").join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    return store.with_children(read(spark, sf_dir, "documents").select("doc_id", "lang"), read(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
 @query("SELECT event_id, user_id, ts FROM events ORDER BY ts DESC, event_id LIMIT 20")
 def recent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", "user_id", "ts").orderBy(F.col("ts").desc(), "event_id").limit(20)
+    return store.newest(read(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "ts", "event_id", 20)
 
 
 @query("SELECT source, lang, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY source, lang")
 def grouped_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+    return store.grouped(read(spark, sf_dir, "documents"), ["source", "lang"], "doc_id")
 
 
 # --- evaluation

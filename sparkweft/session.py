@@ -8,7 +8,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A side of a join is broadcast only if it was counted and its rows, at this many bytes each, stay below the bound.
+#: A side of a join is broadcast only if its rows were counted and stay below this bound.
 BROADCAST_ROWS = 200_000
 
 
@@ -19,13 +19,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df over at least as many partitions as there are cores: for costly work on few, small files. Larger inputs have more splits and stay."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(n) if len(df.inputFiles()) < n and df.rdd.getNumPartitions() < n else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the cluster's shared folder (one of our own where none is set, as in tests)."""
+    """df as a checkpoint in the cluster's shared folder. Where none is set, as in tests, one of our own if everything runs on this machine."""
     sc = df.sparkSession.sparkContext
     if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="sparkweft-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)

@@ -11,7 +11,7 @@ from urllib.request import Request, urlopen
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -43,7 +43,7 @@ class UrlFetcher:
 
 
 def fetch(urls: DataFrame, make: Callable[[], Fetcher], attempts: int = 3, backoff: float = 0.0) -> DataFrame:
-    """FETCHED rows for the distinct URLs; after the last attempt the error is kept (200 characters) and html is null."""
+    """FETCHED rows for the distinct URLs; after the last attempt the error is kept (200 characters), the status if the server answered, and html is null."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetcher = make()
@@ -51,7 +51,7 @@ def fetch(urls: DataFrame, make: Callable[[], Fetcher], attempts: int = 3, backo
             for b in batches:
                 out = []
                 for url in b["url"]:
-                    error = None
+                    error = answered = None
                     for k in range(max(1, attempts)):
                         try:
                             final, status, html = fetcher.get(url)
@@ -59,11 +59,11 @@ def fetch(urls: DataFrame, make: Callable[[], Fetcher], attempts: int = 3, backo
                             error = None
                             break
                         except Exception as e:  # whatever the fetcher raises is this URL's result
-                            error = str(e)[:200]
+                            error, answered = str(e)[:200], getattr(e, "code", None)
                             if backoff and k + 1 < attempts:
                                 time.sleep(backoff)
                     if error is not None:
-                        out.append((url, None, None, None, error))
+                        out.append((url, None, answered, None, error))
                 yield pd.DataFrame(out, columns=["url", "final_url", "status", "html", "error"])
         finally:
             fetcher.close()
@@ -90,6 +90,13 @@ def parse_robots(text: str | None, root_url: str, status_ok: bool = True) -> tup
     return parser, sitemaps or [urljoin(root_url, "/sitemap.xml"), urljoin(root_url, "/sitemap_index.xml")]
 
 
+def robots_of(answer: Row | None) -> tuple[str | None, bool]:
+    """(text, whether it is one) of a FETCHED row for robots.txt, as parse_robots takes them: an error of the server is an answer, none at all is not."""
+    if answer is None or (answer.html is None and answer.status is None):
+        return None, True
+    return answer.html or "", answer.html is not None and (answer.status or 200) < 400
+
+
 def allowed_by_robots(urls: DataFrame, robots: str | None, root_url: str, user_agent: str, status_ok: bool = True) -> DataFrame:
     """urls with `allowed`."""
 

@@ -191,6 +191,37 @@ def test_warehouse(spark, tmp_path):
     assert w.read("raw_documents").count() == 1 and w.read("chunks").count() == 0
 
 
+def test_writes_touch_only_their_collections(spark, tmp_path, monkeypatch):
+    w = store.Warehouse(spark, f"file://{tmp_path}/wh")
+    w.ensure_layout()
+    nodes = lambda rows: spark.createDataFrame(rows, "collection string, node_id string, title string").select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in store.TABLES["discovered_nodes"].schema if f.name not in ("collection", "node_id", "title")))
+    files_of = lambda c: sorted(w.read("discovered_nodes", [c]).inputFiles())
+    titles = lambda df: sorted((r.collection, r.node_id, r.title) for r in df.collect())
+    w.upsert("discovered_nodes", nodes([("a/b", "1", "x"), ("ö", "1", "y")]))
+    other, early = files_of("ö"), w.read("discovered_nodes")
+    w.upsert("discovered_nodes", nodes([("a/b", "1", "z"), ("a/b", "2", "w")]))
+    assert files_of("ö") == other and titles(w.read("discovered_nodes")) == [("a/b", "1", "z"), ("a/b", "2", "w"), ("ö", "1", "y")]
+    assert titles(early) == [("a/b", "1", "x"), ("ö", "1", "y")]  # read before, run after
+    read = w.read("discovered_nodes", ["ö"])._jdf.queryExecution().executedPlan().toString()
+    assert "a/b" not in read and len(files_of("a/b")) > 0
+    before = files_of("a/b")
+    w.append("discovered_nodes", nodes([("a/b", "3", "v")]))
+    assert set(before) < set(files_of("a/b")) and w.read("discovered_nodes", ["a/b"]).count() == 3
+    w.clear_collection("a/b")
+    assert titles(w.read("discovered_nodes")) == [("ö", "1", "y")] and files_of("ö") == other
+    stale = w._pointer("discovered_nodes")
+    w.upsert("discovered_nodes", nodes([("ö", "2", "n")]))
+    monkeypatch.setattr(w, "_pointer", lambda name, real=w._pointer, first=[stale]: first.pop() if first else real(name))
+    with pytest.raises(store.Conflict):
+        w.upsert("discovered_nodes", nodes([("ö", "3", "lost")]))
+    assert w.read("discovered_nodes").count() == 2
+    with pytest.raises(ValueError):
+        w.append("discovered_nodes", nodes([(None, "1", "x")]))
+    brief = store.Warehouse(spark, f"file://{tmp_path}/wh", retain=0)
+    brief.upsert("discovered_nodes", nodes([("ö", "4", "m")]))
+    assert brief._pointer("discovered_nodes")["retired"] == [] and brief.read("discovered_nodes").count() == 3
+
+
 def test_robots_and_sitemaps(spark):
     rules, maps = web.parse_robots("User-agent: *\nDisallow: /private\nSitemap: https://e.com/s.xml", "https://e.com/")
     assert maps == ["https://e.com/s.xml"] and not rules.can_fetch("b", "https://e.com/private/x") and rules.can_fetch("b", "https://e.com/x")
@@ -221,6 +252,35 @@ def test_fetching(spark):
     assert set(rows) == {"a", "a/final", "dead"} and rows["a"].html == "<p>" and rows["dead"].error == "no dead"
 
 
+def test_an_error_of_the_server_is_an_answer(spark):
+    class Refusing:
+        def get(self, url):
+            if url.endswith("robots.txt"):
+                error = OSError("HTTP Error 403: Forbidden")
+                error.code = 403
+                raise error
+            raise OSError("no route")
+
+        def close(self):
+            pass
+
+    rows = {r.url: r for r in web.fetch(spark.createDataFrame([("https://e.com/robots.txt",), ("https://f.com/",)], "url string"), Refusing, 1).collect()}
+    assert web.robots_of(rows["https://e.com/robots.txt"]) == ("", False) and web.robots_of(rows["https://f.com/"]) == (None, True) and web.robots_of(None) == (None, True)
+    rules = web.parse_robots(*(lambda t, ok: (t, "https://e.com/", ok))(*web.robots_of(rows["https://e.com/robots.txt"])))[0]
+    assert not rules.can_fetch("b", "https://e.com/x")
+
+
+def test_links_of_the_whole_page_where_its_contents_are_short(spark):
+    page = "<nav><a href=/manual/a>A</a></nav><div><a href=/manual/b>B</a><a href=javascript:x()>no</a><a href=/manual/a>A again</a></div>"
+    fetched = spark.createDataFrame([(f"{M}/", f"{M}/", page)], "url string, final_url string, html string")
+    found = lambda n: [r.url.removeprefix(M) for r in discovery.links_of(fetched, Config(root_url=f"{M}/", toc_fallback_below=n)).orderBy("ord").collect()]
+    assert found(0) == ["/a"] and found(5) == ["/a", "/b"]
+
+
+def test_defaults_end_a_crawl():
+    assert (Config(root_url=M).max_pages, Config(root_url=M).max_depth, Config(root_url=M).retry_backoff) == (300, 2, 2.0)
+
+
 def test_files(spark, tmp_path):
     rows = spark.createDataFrame([(1, "ä"), (2, None)], "a int, b string")
     files.write_jsonl(rows, f"{tmp_path}/x", order=["a"])
