@@ -11,9 +11,10 @@ two equal windows share an aligned anchor, the 8 words from there, which lies in
    its block, and the first of all is stored in sorted arrays.
 3. A candidate window is removed unless it is that first occurrence; what windows cover is cut out.
 
-A hot passage costs one row a block of a task, not one an occurrence, and no pairs are formed. Memory is
+A hot passage costs one value a block of a task, not one an occurrence, and no pairs are formed. Memory is
 bounded by the block (about a million words, or one text) and by buckets, whose number follows the number
-of map tasks. Texts are split three times, no text is shuffled.
+of map tasks (see arrays). Texts are split three times, no text is shuffled. Two hashes stand for a window, 96 bits
+together: among 10^13 windows the chance that any two share them is about 10^-3.
 
 Defined results: null text has no words; a null id comes after all others, and every row with one is a document of
 its own; rows that repeat an id with the same text count as one document, so none of them is removed for the other;
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkweft.llm.arrays import bits_for, buckets, planes, split_sorted, unplanes, write_bucket
+from sparkweft.llm.arrays import ROWS, batch, bits_for, buckets, dealt, more_bits, redealt, together, write_bucket
 from sparkweft.llm.common import shared_folder
 from sparkweft.llm.words import Windows, WordHashes, split_words
 from sparkweft.session import cut_lineage
@@ -122,6 +123,7 @@ def _keys(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 def store_anchors(rows: DataFrame, folder: str, bits: int, length: int, period: int, cover: tuple[int, ...]) -> int:
     """Write the anchors found twice or more; returns their number."""
+    more = more_bits(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, hashes = Finder(length, period, cover), WordHashes()
@@ -132,23 +134,23 @@ def store_anchors(rows: DataFrame, folder: str, bits: int, length: int, period:
             first = np.concatenate([[True], h[1:] != h[:-1]])
             second = np.concatenate([[False], ~first[1:] & first[:-1]])
             h = h[first | second]
-            found, edges = split_sorted(h, bits)
-            yield pa.record_batch({"bucket": pa.array(found, pa.int64()), "h": pa.array([h[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())})
+            yield batch(dealt(0, 0, (h >> np.uint64(64 - bits)).astype(np.int64), [h], more))
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h = np.sort(np.frombuffer(b"".join(part["h"]), "<u8"))
+        h = np.sort(together(part)[0].view(np.uint64))
         same = h[1:] == h[:-1]
         twice = np.unique(h[1:][same])
         if len(twice):
             write_bucket(folder, f"anchor{int(key[0])}", [twice])
         return pd.DataFrame({"n": [len(twice)]})
 
-    done = rows.mapInArrow(run, "bucket long, h binary").groupBy("bucket").applyInPandas(merge, "n long")
+    done = redealt(rows.mapInArrow(run, ROWS), more).groupBy("bucket").applyInPandas(merge, "n long")
     return done.agg(F.sum("n")).first()[0] or 0
 
 
 def store_windows(rows: DataFrame, folder: str, bits: int, length: int, period: int, cover: tuple[int, ...]) -> int:
     """Write the first occurrence of each window found twice or more; returns their number."""
+    more = more_bits(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, hashes = Finder(length, period, cover), WordHashes()
@@ -164,13 +166,10 @@ def store_windows(rows: DataFrame, folder: str, bits: int, length: int, period:
             again = ~new[1:] & ((ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))
             many = np.add.reduceat(np.concatenate([[0], again]), np.flatnonzero(new)) > 0
             h, c, ids, keys, at = h[new], c[new], ids[new], keys[new], at[new]
-            found, edges = split_sorted(h, bits)
-            spans = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            columns = {"h": h, "c": c, "d": ids, "k": keys, "s": at, "m": many.astype(np.uint8)}
-            yield pa.record_batch({"bucket": pa.array(found, pa.int64()), **{k: pa.array([planes(v[x]) for x in spans], pa.binary()) for k, v in columns.items()}})
+            yield batch(dealt(0, 0, (h >> np.uint64(64 - bits)).astype(np.int64), [h, c, ids, keys, at, many], more))
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h, c, ids, keys, at, many = (np.concatenate([unplanes(x, k) for x in part[n]]) for n, k in zip("hcdksm", [*_WINDOW, "|u1"], strict=True))
+        h, c, ids, keys, at, many = (x.astype(k) for x, k in zip(together(part), [*_WINDOW, "|u1"], strict=True))
         order = np.lexsort((at, keys, ids, c, h))
         h, c, ids, keys, at, many = h[order], c[order], ids[order], keys[order], at[order], many[order]
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
@@ -181,7 +180,7 @@ def store_windows(rows: DataFrame, folder: str, bits: int, length: int, period:
             write_bucket(folder, f"window{int(key[0])}", [h[keep], c[keep], ids[keep], keys[keep], at[keep]])
         return pd.DataFrame({"n": [len(keep)]})
 
-    done = rows.mapInArrow(run, "bucket long, h binary, c binary, d binary, k binary, s binary, m binary").groupBy("bucket").applyInPandas(merge, "n long")
+    done = redealt(rows.mapInArrow(run, ROWS), more).groupBy("bucket").applyInPandas(merge, "n long")
     return done.agg(F.sum("n")).first()[0] or 0
 
 

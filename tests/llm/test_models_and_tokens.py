@@ -20,7 +20,7 @@ from llm_fixtures import WORD, awkward, frame, lower_az
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sparkweft.llm import bpe, html_extract, html_tree, kneser_ney, packing, quality_classifier
+from sparkweft.llm import arrays, bpe, html_extract, html_tree, kneser_ney, packing, quality_classifier
 from sparkweft.llm.html_pages import label_of, labelled_pages
 from sparkweft.llm.registry import fold
 
@@ -268,14 +268,15 @@ def _corpus(seed: int) -> tuple[list[str], list[str]]:
 
 
 @pytest.mark.parametrize("order", [2, 3, 4])
-@pytest.mark.parametrize("bits", [None, 1])
-def test_scores_are_those_of_the_definition(spark, monkeypatch, order, bits):
-    """With one bit hot contexts lie in several buckets."""
+@pytest.mark.parametrize(("bits", "fanout"), [(None, 12), (1, 12), (5, 2)])
+def test_scores_are_those_of_the_definition(spark, monkeypatch, order, bits, fanout):
+    """With one bit contexts lie whole in one bucket, with more hot ones in several; a fan-out of two bits deals twice."""
     texts, others = _corpus(order)
     plain = PlainKneserNey(texts, order)
     if bits:
         monkeypatch.setattr(kneser_ney, "bits_for", lambda tasks: bits)
-    monkeypatch.setattr(kneser_ney, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(arrays, "FANOUT", fanout)
+    monkeypatch.setattr(arrays, "HELD_VALUES", 100)
     d = spark.createDataFrame([(k, t, k < len(texts)) for k, t in enumerate(texts + others)], "doc_id long, text string, t boolean").repartition(3)
     got = {r.doc_id: r.score for r in kneser_ney.lm_scores(d, F.col("t"), order=order).collect()}
     for k, t in enumerate(texts + others):

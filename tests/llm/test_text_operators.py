@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from llm_fixtures import WORD, awkward, components, fingerprint, frame, lower_az, removed
 
 from sparkweft.llm import quality_rules as quality
-from sparkweft.llm import secrets, simhash, substring_dedup
+from sparkweft.llm import arrays, secrets, simhash, substring_dedup
 from sparkweft.llm.exact_dedup import exact_dedup
 from sparkweft.llm.registry import ORACLES
 from sparkweft.llm.words import WordHashes, Windows, split_words
@@ -109,7 +109,12 @@ def test_groups_follow_the_number_of_fingerprints():
     assert simhash.groups_for(0) == simhash.groups_for(10**6) == 5 and simhash.groups_for(10**9) == 6 and simhash.groups_for(2 * 10**10) == 10
 
 
-def test_substring_dedup(spark, rows):
+@pytest.mark.parametrize(("bits", "fanout"), [(None, 12), (6, 3)])
+def test_substring_dedup(spark, rows, monkeypatch, bits, fanout):
+    if bits:
+        monkeypatch.setattr(substring_dedup, "bits_for", lambda tasks: bits)
+    monkeypatch.setattr(arrays, "FANOUT", fanout)
+    monkeypatch.setattr(arrays, "HELD_VALUES", 500)
     unique = {i: t for i, t, *_ in rows if i is not None}
     d = frame(spark, [(i, t, "en", "s") for i, t in unique.items()]).repartition(3)
     want = {i: (n, g, hashlib.sha256(k.encode()).hexdigest()) for i, (n, g, k) in removed(list(unique.items())).items()}
@@ -293,6 +298,20 @@ def test_empty_tables(spark):
         assert f(none).count() == 0
 
 
+def test_buckets_of_another_store_are_held_up_to_a_bound(tmp_path, monkeypatch):
+    """As mapped files, but read; only the last ones stay in memory."""
+    folder = f"file://{tmp_path}"
+    for k in range(6):
+        arrays.write_bucket(folder, f"x{k}", [np.arange(k, k + 1000, dtype="<u8"), np.full(1000, k, "<i8")])
+    b = arrays.Buckets(folder, "x", ["<u8", "<i8"])
+    b.local = None
+    monkeypatch.setattr(arrays, "HELD_BYTES", 40_000)
+    for k in [*range(7), 2, 2, 0]:
+        h, c = b[k]
+        assert (len(h), list(c[:1]), list(h[:1])) == ((1000, [k], [k]) if k < 6 else (0, [], []))
+        assert b.held <= 40_000 and len(b.open) <= 3
+
+
 @given(st.text(alphabet="ab \t\n\x0b\x0c\r\x1c\x85 　é", max_size=60))
 def test_words(text):
     assert split_words(text) == WORD.findall(text)
