@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkweft.config import Config, build_config, configure_logging, data_paths
-from sparkweft.operators import coverage, discovery, evaluate, graph
+from sparkweft.operators import coverage, discovery, evaluate, fts, graph
 from sparkweft.operators.corpus import build, stats
 from sparkweft.operators.embed import build_embedder
 from sparkweft.operators.retrieve import HybridRetriever
@@ -62,6 +62,7 @@ def index(spark: SparkSession, config: Config, warehouse: Warehouse, found: disc
     urls = made.documents.select("collection", "canonical_url")
     warehouse.replace_sections(urls, made.sections)
     warehouse.replace_chunks(urls, made.chunks)
+    warehouse.replace_postings(urls, fts.postings(made.chunks, "chunk_id", keep=("collection", "canonical_url")))
     run = spark.range(1).select(F.sha2(F.current_timestamp().cast("string"), 256).alias("run_id"), F.lit(config.collection).alias("collection"), F.current_timestamp().alias("started_at"), F.lit(found.stopped_reason).alias("status"), F.array(F.lit(config.root_url)).alias("seed_urls"))
     warehouse.upsert("crawl_runs", run)
     report = coverage.coverage_report(found.inventory, warehouse.read("raw_documents", [config.collection]), found.skipped, found.stopped_reason)
@@ -71,7 +72,7 @@ def index(spark: SparkSession, config: Config, warehouse: Warehouse, found: disc
 
 def retriever(config: Config, warehouse: Warehouse) -> HybridRetriever:
     chunks = warehouse.read("chunks", [config.collection])
-    return HybridRetriever(chunks, build_embedder(config), config.lexical_limit, config.vector_limit, config.fused_limit, config.rrf_k)
+    return HybridRetriever(chunks, build_embedder(config), config.lexical_limit, config.vector_limit, config.fused_limit, config.rrf_k, warehouse.index_of(config.collection))
 
 
 def answer(config: Config, warehouse: Warehouse, queries: dict[int, str], keep_traces: bool = True) -> DataFrame:

@@ -1,9 +1,10 @@
 """Full-text search over an inverted index.
 
 Index: postings (term, id, positions), from lower-case runs of letters and digits, English stop words left out (their
-positions stay empty), stemmed. Queries are compiled on the driver: words are all wanted, "..." is a phrase,
-`or` separates alternatives, a leading - excludes; stop words drop out, and a query of nothing else has no
-result. Postings are filtered by the terms of the queries (a broadcast of a checked number of terms), grouped by
+positions stay empty), stemmed; or, plain, from all of them as they are. Queries are compiled on the driver: words are all
+wanted, "..." is a phrase, `or` separates alternatives, a leading - excludes; stop words drop out, and a query of nothing
+else has no result. Postings come from a stored table (filtered by the terms of the queries, which reaches the scan), or
+from texts (`search_texts`), whose terms that no query has never leave the analysis. They are grouped by
 query and id, and scored: for each alternative that holds, the sum over its minimal covers of 1 if a cover is at
 most `near` positions long, else near / length (cover density; near is our own choice of 16).
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -24,6 +26,8 @@ from sparkweft.session import BROADCAST_ROWS
 
 _TOKEN = regex.compile(r"[\p{L}\p{N}]+")
 NEAR = 16
+#: So many terms are put into the scan's filter; beyond that the join alone finds them.
+PUSHED_TERMS = 1000
 #: English stop words.
 STOP = frozenset(
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs themselves what which who whom this that these those am is are was were be been being "
@@ -32,26 +36,32 @@ STOP = frozenset(
 )
 
 
-def analyze(text: str) -> list[tuple[str, int]]:
-    """(term, position from 1) of the tokens that are no stop words; positions count all tokens."""
-    words = _TOKEN.findall(text.lower())
-    return [(stem(w), k) for k, w in enumerate(words, 1) if w not in STOP]
+@lru_cache(maxsize=1 << 17)
+def _term(word: str, plain: bool) -> str | None:
+    """The term of a word, None for a stop word."""
+    return word if plain else None if word in STOP else stem(word)
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("term", StringType()), StructField("positions", ArrayType(IntegerType()))])))
-def _indexed(texts: pd.Series) -> pd.Series:
-    out = []
-    for text in texts:
-        found: dict[str, list[int]] = {}
-        for term, k in analyze(text or ""):
-            found.setdefault(term, []).append(k)
-        out.append([{"term": t, "positions": p} for t, p in found.items()])
-    return pd.Series(out, dtype=object)
+def analyze(text: str, plain: bool = False) -> list[tuple[str, int]]:
+    """(term, position from 1) of the tokens that are no stop words; positions count all tokens. plain: every token as it is."""
+    return [(t, k) for k, w in enumerate(_TOKEN.findall(text.lower()), 1) if (t := _term(w, plain)) is not None]
 
 
-def postings(rows: DataFrame, id_col: str, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """term, positions, id and the columns in keep."""
-    return rows.select(id_col, *keep, F.explode(_indexed(F.col(text_col))).alias("p")).select(F.col("p.term").alias("term"), id_col, *keep, F.col("p.positions").alias("positions"))
+def postings(rows: DataFrame, id_col: str, text_col: str = "text", keep: tuple[str, ...] = (), plain: bool = False, wanted: frozenset[str] | None = None) -> DataFrame:
+    """term, positions, id and the columns in keep; of the terms in wanted only, if given."""
+
+    @F.pandas_udf(ArrayType(StructType([StructField("term", StringType()), StructField("positions", ArrayType(IntegerType()))])))
+    def indexed(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            found: dict[str, list[int]] = {}
+            for term, k in analyze(text or "", plain):
+                if wanted is None or term in wanted:
+                    found.setdefault(term, []).append(k)
+            out.append([{"term": t, "positions": p} for t, p in found.items()])
+        return pd.Series(out, dtype=object)
+
+    return rows.select(id_col, *keep, F.explode(indexed(F.col(text_col))).alias("p")).select(F.col("p.term").alias("term"), id_col, *keep, F.col("p.positions").alias("positions"))
 
 
 @dataclass(frozen=True)
@@ -62,14 +72,14 @@ class Item:
     excluded: bool = False
 
 
-def compile_query(query: str) -> list[list[Item]]:
+def compile_query(query: str, plain: bool = False) -> list[list[Item]]:
     """Alternatives, each a list of items that all hold."""
     out: list[list[Item]] = [[]]
     for token in re.findall(r'-?"[^"]*"|\S+', query):
         if token.lower() == "or":
             out.append([])
             continue
-        found = analyze(token.lstrip("-"))
+        found = analyze(token.lstrip("-"), plain)
         if found:
             out[-1].append(Item(tuple((t, k - found[0][1]) for t, k in found), token.startswith("-")))
     return [x for x in out if x]
@@ -107,15 +117,27 @@ def score_text(alternatives: list[list[Item]], places: dict[str, list[int]], nea
     return total if holds else None
 
 
-def search(index: DataFrame, queries: dict[int, str], id_col: str, ids: DataFrame | None = None, near: int = NEAR) -> DataFrame:
-    """query_id, id, score of the rows that match. ids (all ids) is needed only for alternatives that merely exclude."""
+def wanted_terms(queries: dict[int, str], plain: bool = False) -> frozenset[str]:
+    return frozenset(t for text in queries.values() for items in compile_query(text, plain) for i in items for t, _ in i.terms)
+
+
+def search_texts(rows: DataFrame, queries: dict[int, str], id_col: str, text_col: str = "text", near: int = NEAR, plain: bool = False) -> DataFrame:
+    """search() over texts that have no stored index: postings are made of the queries' terms alone."""
+    index = postings(rows, id_col, text_col, plain=plain, wanted=wanted_terms(queries, plain))
+    return search(index, queries, id_col, rows.select(id_col), near, plain)
+
+
+def search(index: DataFrame, queries: dict[int, str], id_col: str, ids: DataFrame | None = None, near: int = NEAR, plain: bool = False) -> DataFrame:
+    """query_id, id, score of the rows that match. ids (all ids) is needed only for alternatives that merely exclude. plain: as the index was made."""
     spark = index.sparkSession
-    compiled = {q: c for q, text in queries.items() if (c := compile_query(text))}
+    compiled = {q: c for q, text in queries.items() if (c := compile_query(text, plain))}
     empty = spark.createDataFrame([], f"query_id int, {id_col} {index.schema[id_col].dataType.simpleString()}, score double")
     if not compiled:
         return empty
     terms = sorted({(q, t) for q, alternatives in compiled.items() for items in alternatives for i in items for t, _ in i.terms})
     wanted = spark.createDataFrame(terms, "query_id int, term string")
+    names = sorted({t for _, t in terms})
+    index = index.filter(F.col("term").isin(names)) if len(names) <= PUSHED_TERMS else index
     hits = index.join(F.broadcast(wanted) if len(terms) <= BROADCAST_ROWS else wanted, "term")
     grouped = hits.groupBy("query_id", id_col).agg(F.collect_list(F.struct("term", "positions")).alias("found"))
     open_ones = [q for q, alternatives in compiled.items() if any(all(i.excluded for i in items) for items in alternatives)]

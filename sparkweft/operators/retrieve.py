@@ -83,11 +83,12 @@ class HybridRetriever:
     def __init__(self, chunks: DataFrame, embedder: Embedder, lexical_limit: int = 20, vector_limit: int = 20, fused_limit: int = 8, rrf_k: int = 60, index: DataFrame | None = None):
         self.chunks, self.embedder = chunks, embedder
         self.limits, self.k = (lexical_limit, vector_limit, fused_limit), rrf_k
-        self.index = fts.postings(chunks, "chunk_id") if index is None else index
+        self.index = index  # stored postings; without them they are made for each batch of queries, of their terms alone
 
     def branches(self, queries: dict[int, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Lexical, vector and fused hits: query_id, chunk_id, score, rank. The first two are kept (a few rows a query), so that each is found once."""
-        lexical = cut_lineage(fts.ranked(fts.search(self.index, queries, "chunk_id", self.chunks.select("chunk_id")), self.limits[0], "chunk_id"))
+        found = fts.search_texts(self.chunks, queries, "chunk_id") if self.index is None else fts.search(self.index, queries, "chunk_id", self.chunks.select("chunk_id"))
+        lexical = cut_lineage(fts.ranked(found, self.limits[0], "chunk_id"))
         spark = self.chunks.sparkSession
         vectors = spark.createDataFrame([(q, self.embedder.embed_query(t)) for q, t in queries.items()], "query_id int, query_vector array<float>")
         vector = cut_lineage(vector_topk_batch(self.chunks, vectors, self.limits[1]))

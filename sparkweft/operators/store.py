@@ -164,6 +164,8 @@ class Warehouse:
         self._rewrite("sections", touched, lambda old: replaced(old, sections.select(*TABLES["sections"].schema.names), ["collection", "canonical_url"], urls))
         kept = self.read("sections", touched).select("collection", "section_id")
         self._rewrite("chunks", touched, lambda old: old.join(kept, ["collection", "section_id"], "left_semi"))
+        left = self.read("chunks", touched).select("collection", "chunk_id")
+        self._rewrite("postings", touched, lambda old: old.join(left, ["collection", "chunk_id"], "left_semi").sortWithinPartitions("term"))
 
     def replace_chunks(self, urls: DataFrame, chunks: DataFrame, embeddings: DataFrame | None = None) -> None:
         """Chunks of the pages in urls; embeddings (chunk_id, embedding) are joined, null where there is none."""
@@ -171,6 +173,16 @@ class Warehouse:
         touched = sorted({*self._collections(urls), *self._collections(rows)})
         self._rewrite("chunks", touched, lambda old: replaced(old, rows, ["collection", "canonical_url"], urls))
 
+    def replace_postings(self, urls: DataFrame, postings: DataFrame) -> None:
+        """Postings of the chunks of the pages in urls. Files are sorted by term, so that a filter on terms skips most of them."""
+        touched = sorted({*self._collections(urls), *self._collections(postings)})
+        new = postings.select(*TABLES["postings"].schema.names)
+        self._rewrite("postings", touched, lambda old: replaced(old, new, ["collection", "canonical_url"], urls).sortWithinPartitions("term"))
+
+    def index_of(self, collection: str) -> DataFrame | None:
+        """The stored postings of a collection, None if it has none."""
+        return self.read("postings", [collection]) if self._pointer("postings")["folders"].get(collection) else None
+
     def append_trace(self, traces: DataFrame) -> None:
         self.append("retrieval_traces", traces)
 
@@ -180,7 +192,7 @@ class Warehouse:
 
     def clear_collection_content(self, collection: str) -> None:
         """Documents, sections and chunks of a collection, before it is indexed anew; nodes and traces stay."""
-        self._drop(collection, ["chunks", "sections", "raw_documents"])
+        self._drop(collection, ["postings", "chunks", "sections", "raw_documents"])
 
     def _drop(self, collection: str, names: list[str]) -> None:
         """Only pointers change: no table is read or written."""

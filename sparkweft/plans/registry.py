@@ -20,6 +20,7 @@ from sparkweft.streaming.ingest import event_counts
 
 QUERIES, ORACLES = {}, {}
 TERMS = ["ther", "reti"]
+PHRASES = {1: '"th ther"', 2: "reti or edti", 3: "ther -reti"}
 #: Rules of the scope queries.
 DOMAINS, PREFIXES, INCLUDES, EXCLUDES = ["example.com", "example.net"], ["/en", "/fr"], ["/"], ["utm_", "/search"]
 
@@ -124,14 +125,42 @@ def hybrid_retriever(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lexical_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(read(spark, sf_dir, "documents"))
-    found = fts.search(fts.postings(docs, "doc_id"), {1: '"th ther"', 2: "reti or edti", 3: "ther -reti"}, "doc_id")
+    found = fts.search_texts(spread(read(spark, sf_dir, "documents")), PHRASES, "doc_id")
     return found.select("query_id", "doc_id")
 
 
 @query()
 def lexical_cover_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fts.search(fts.postings(spread(read(spark, sf_dir, "documents")), "doc_id"), {1: "ther reti", 2: "thing ther edti"}, "doc_id")
+    found = fts.search_texts(spread(read(spark, sf_dir, "documents")), {1: "ther reti", 2: "thing ther edti"}, "doc_id")
+    return fts.ranked(found, 20, "doc_id").select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+#: Tokens with their places, for the same searches by the plain analysis (no stop words, no stems).
+_TOKENS = "tok AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents))"
+_HAS = "SELECT doc_id FROM tok WHERE t = '{t}'"
+
+
+@query(
+    f"""WITH {_TOKENS} SELECT DISTINCT 1 AS query_id, a.doc_id FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.p = a.p + 1 WHERE a.t = 'th' AND b.t = 'ther'
+        UNION ALL SELECT DISTINCT 2, doc_id FROM tok WHERE t IN ('reti', 'edti')
+        UNION ALL SELECT DISTINCT 3, doc_id FROM ({_HAS.format(t="ther")}) WHERE doc_id NOT IN ({_HAS.format(t="reti")})"""
+)
+def lexical_phrase_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fts.search_texts(spread(read(spark, sf_dir, "documents")), PHRASES, "doc_id", plain=True)
+    return found.select("query_id", "doc_id")
+
+
+_COVERS = """SELECT {q} AS query_id, doc_id, sum(CASE WHEN p - q + 1 <= 16 THEN 1.0::DOUBLE ELSE 16.0::DOUBLE / (p - q + 1) END) AS score FROM (
+  SELECT doc_id, t, p, lag(t) OVER w AS u, lag(p) OVER w AS q FROM tok WHERE t IN ('{a}', '{b}') WINDOW w AS (PARTITION BY doc_id ORDER BY p)) WHERE u <> t GROUP BY doc_id"""
+
+
+@query(
+    f"""WITH {_TOKENS} SELECT query_id, rank::INT AS rank, doc_id, round(score, 6) AS score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM ({_COVERS.format(q=1, a="ther", b="reti")} UNION ALL {_COVERS.format(q=2, a="thing", b="ther")})) WHERE rank <= 20"""
+)
+def cover_density_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two words the minimal covers are the neighbours that differ."""
+    found = fts.search_texts(spread(read(spark, sf_dir, "documents")), {1: "ther reti", 2: "thing ther"}, "doc_id", plain=True)
     return fts.ranked(found, 20, "doc_id").select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
@@ -303,7 +332,21 @@ def root_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sectionize(_docs(spark, sf_dir)).select("canonical_url", "section_id", "heading", F.length("text").alias("n"))
 
 
-@query()
+_HEADS = """lines AS (SELECT url, unnest(m) AS line, generate_subscripts(m, 1) AS ln FROM (
+    SELECT 'doc://' || doc_id AS url, flatten(list_transform(range(1, len(l) + 1), lambda i: [repeat('#', (1 + (i - 1) % 3)::INT) || ' Part ' || (i - 1), l[i]])) AS m FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+  marked AS (SELECT *, regexp_matches(line, '^#{1,6}\\s+.*\\S') AS is_head FROM lines),
+  numbered AS (SELECT *, sum(is_head::INT) OVER (PARTITION BY url ORDER BY ln) - 1 AS k FROM marked),
+  bodies AS (SELECT url, k, length(trim(string_agg(line, chr(10) || chr(10) ORDER BY ln), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS n FROM numbered WHERE NOT is_head GROUP BY ALL),
+  heads AS (SELECT url, k, length(regexp_extract(line, '^(#{1,6})', 1))::INT AS level, trim(regexp_extract(line, '^#{1,6}\\s+(.*)$', 1)) AS heading, coalesce(n, 0) >= 80 AS emitted FROM numbered LEFT JOIN bodies USING (url, k) WHERE is_head),
+  named AS (SELECT *, sha256(url || '::' || coalesce(nullif(trim(regexp_replace(lower(heading), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'section') || '::' || k) AS id FROM heads),
+  above AS (SELECT h.url, h.k, max(j.k) AS up FROM named h LEFT JOIN named j ON j.url = h.url AND j.k < h.k AND j.level < h.level GROUP BY ALL),
+  climb AS (SELECT n.url, n.k, n.heading AS path, up, NULL::VARCHAR AS parent FROM named n JOIN above USING (url, k) WHERE emitted
+            UNION ALL SELECT c.url, c.k, n.heading || ' > ' || c.path, a.up, coalesce(c.parent, CASE WHEN n.emitted THEN n.id END) FROM climb c JOIN named n ON n.url = c.url AND n.k = c.up JOIN above a ON a.url = c.url AND a.k = c.up)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_HEADS} SELECT n.url AS canonical_url, n.id AS section_id, c.parent AS parent_section_id, n.level, n.k::INT AS order_in_page, c.path FROM climb c JOIN named n USING (url, k) WHERE c.up IS NULL"""
+)
 def sections_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with headings put at their lines: levels 1 to 3 in turn."""
     level = F.expr("transform(split(markdown_content, '\\n'), (x, i) -> concat(repeat('#', 1 + i % 3), ' Part ', i, '\\n\\n', x))")
@@ -315,12 +358,34 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_sections(sectionize(_docs(spark, sf_dir)))
 
 
-@query()
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_PIECES = """SELECT url, i, p, g, sum(length(p) + length(g)) OVER (PARTITION BY url ORDER BY i) - length(p) - length(g) AS a
+    FROM (SELECT url, unnest(string_split_regex(t, '{r}')) AS p, unnest(list_concat(regexp_extract_all(t, '{r}'), [''])) AS g, generate_subscripts(string_split_regex(t, '{r}'), 1) AS i FROM s)"""
+#: Units with their bounds, and the walk over them, window by window.
+_CHUNKS = f"""s AS (SELECT 'doc://' || doc_id AS url, trim(text, {_WS}) AS t FROM documents WHERE length(trim(text, {_WS})) >= 80),
+  para AS ({_PIECES.format(r="[\\n]\\s*[\\n]+")}), sent AS ({_PIECES.format(r="[.!?]\\s+")}),
+  both_ AS (SELECT url, 1 AS way, a + length(p) - length(ltrim(p, {_WS})) AS a, a + length(rtrim(p, {_WS})) AS b FROM para WHERE trim(p, {_WS}) <> ''
+            UNION ALL SELECT url, 2, a, a + length(p) + least(length(g), 1) FROM sent WHERE p <> '' OR g <> '' UNION ALL SELECT url, 3, 0, length(t) FROM s),
+  ways AS (SELECT url, way, list(a ORDER BY a) AS starts, list(b ORDER BY b) AS ends FROM both_ GROUP BY ALL),
+  units AS (SELECT url, arg_min(starts, way) AS starts, arg_min(ends, way) AS ends FROM ways WHERE way = 3 OR len(starts) > 1 GROUP BY url),
+  walk AS (
+    SELECT url, 0 AS ord, 0::BIGINT AS a, (SELECT list_max(list_filter(u.ends, lambda x: x <= 1200))) AS e FROM units u
+    UNION ALL
+    SELECT url, ord + 1, nxt, (SELECT list_max(list_filter(ends, lambda x: x <= nxt + 1200))) FROM (
+      SELECT url, ord, ends, coalesce(list_min(list_filter(starts, lambda x: x >= greatest(a + 1, stop - 150))), greatest(a + 1, stop - 150)) AS nxt
+      FROM (SELECT w.url, w.ord, w.a, u.starts, u.ends, length(s.t) AS n, CASE WHEN w.e > w.a THEN w.e ELSE least(length(s.t), w.a + 1200) END AS stop FROM walk w JOIN units u USING (url) JOIN s USING (url)) WHERE stop < n) WHERE true),
+  cuts AS (SELECT url, ord, a, CASE WHEN e > a THEN e ELSE least(length(t), a + 1200) END AS b, CASE WHEN e > a THEN 'semantic_boundary' ELSE 'char_window_fallback' END AS chunk_strategy, t FROM walk JOIN s USING (url)),
+  made AS (SELECT *, t[a + 1:b] AS c FROM cuts WHERE trim(t[a + 1:b], {_WS}) <> ''),
+  chunk AS (SELECT url AS canonical_url, sha256(sha256(url || '::root') || '::' || ord) AS chunk_id, ord::INT AS order_in_section, (a + length(c) - length(ltrim(c, {_WS})))::INT AS start_char,
+            (a + length(rtrim(c, {_WS})))::INT AS end_char, chunk_strategy, greatest(1, length(trim(c, {_WS})) // 4)::INT AS token_estimate FROM made)"""
+
+
+@query(f"WITH RECURSIVE {_CHUNKS} SELECT * FROM chunk")
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunks(spark, sf_dir).select("canonical_url", "chunk_id", "order_in_section", "start_char", "end_char", "chunk_strategy", "token_estimate")
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHUNKS} SELECT chunk_strategy, count(*) AS n, count(DISTINCT canonical_url) AS documents FROM chunk GROUP BY chunk_strategy")
 def chunks_fallback_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunks(spark, sf_dir).groupBy("chunk_strategy").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("canonical_url").alias("documents"))
 

@@ -39,6 +39,7 @@ TABLES = {
         "collection string, chunk_id string, section_id string, canonical_url string, order_in_section int, text string, token_estimate int, heading string, section_path array<string>, start_char int, end_char int, chunk_strategy string, doc_type string, embedding array<float>",
         ("collection", "chunk_id"), (("sections", ("collection", "section_id")), ("raw_documents", ("collection", "canonical_url"))),
     ),
+    "postings": Table("collection string, term string, chunk_id string, canonical_url string, positions array<int>", ("collection", "term", "chunk_id"), (("chunks", ("collection", "chunk_id")),)),
     "retrieval_traces": Table(f"trace_id string, collection string, query string, created_at timestamp, lexical_hits array<{HIT}>, vector_hits array<{HIT}>, fused_hits array<{HIT}>", ("trace_id",)),
 }
 INVENTORY = "collection string, url string, canonical_url string, source string, depth int, discovered_from string, doc_version string, parent_canonical_url string, link_text string, toc_level int, toc_order int"

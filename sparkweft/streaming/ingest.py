@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkweft.config import Config
+from sparkweft.operators import fts
 from sparkweft.operators.corpus import build
 from sparkweft.operators.store import Warehouse
 
@@ -26,6 +27,7 @@ def ingest(pages: DataFrame, warehouse: Warehouse, config: Config, checkpoint: s
         warehouse.upsert("raw_documents", made.documents.withColumn("metadata", F.lit(None).cast("map<string, string>")))
         warehouse.replace_sections(urls, made.sections)
         warehouse.replace_chunks(urls, made.chunks)
+        warehouse.replace_postings(urls, fts.postings(made.chunks, "chunk_id", keep=("collection", "canonical_url")))
 
     return pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
