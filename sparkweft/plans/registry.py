@@ -271,12 +271,11 @@ _SCORE = f"""SELECT page_id, CASE WHEN density >= 0.6 THEN 0.5 WHEN density >= 0
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores from counts that regular expressions can make, as SQL can."""
-    count = lambda r: F.regexp_count("html", F.lit(r))
+    """Scores from what the page reader counts; the text is what is left without tags."""
     plain = F.regexp_replace("html", "<[^>]*>", " ")
-    chars = F.aggregate(F.transform(F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), F.lit(1)), F.length), F.lit(0), lambda a, x: a + x)
-    score = navigation_score(chars / F.greatest(F.lit(1), F.length(plain)), count("<p>"), count("<h[1-6]>"), count("<li>"), term_hits(plain))
-    return read(spark, sf_dir, "pages").select("page_id", score.alias("score"))
+    p = spread(read(spark, sf_dir, "pages")).select("page_id", "html", dom_counts("html").alias("d"))
+    score = navigation_score(F.col("d.anchor_chars") / F.greatest(F.lit(1), F.length(plain)), F.col("d.paragraphs"), F.col("d.headings"), F.col("d.list_items"), term_hits(plain))
+    return p.select("page_id", score.alias("score"))
 
 
 @query(f"SELECT page_id, round(score::DOUBLE, 4) AS score, CASE WHEN score >= 0.55 THEN 'navigation' ELSE 'content' END AS doc_type FROM ({_SCORE})")
@@ -315,8 +314,10 @@ def toc_entries_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
          SELECT page_id, href, min(k) AS first_at FROM (SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS k FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)) GROUP BY page_id, href)"""
 )
 def toc_links_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").select("page_id", F.array_distinct(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("l"))
-    return p.select("page_id", F.posexplode("l").alias("ord", "href"))
+    # Every link of the page, by the reader of tables of contents; the addresses of these pages are absolute paths.
+    entries = toc_entries(F.col("html"), F.lit("https://example.com/"), ("html",))
+    p = spread(read(spark, sf_dir, "pages")).select("page_id", F.explode(entries).alias("e"))
+    return p.select("page_id", F.col("e.ord").alias("ord"), F.regexp_replace("e.url", "^https://example.com(?=/)", "").alias("href"))
 
 
 # --- sections and chunks
