@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 
 from sparkweft.llm import arrays, bpe, html_extract, html_tree, kneser_ney, packing, quality_classifier
 from sparkweft.llm.html_pages import label_of, labelled_pages
-from sparkweft.llm.registry import fold
+from sparkweft.llm.registry import fold, op3_kneser_ney
 
 SF = "/root/testdata/sf0.001"
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -296,6 +296,17 @@ def test_spread_contexts(spark, monkeypatch):
         assert math.isclose(r.score, plain.score(texts[r.doc_id]), rel_tol=1e-9)
 
 
+def test_query_scores_by_trigrams(spark, tmp_path):
+    """The registered query gives the scores of the definition for three words, learnt from the rows of its fold."""
+    texts = [t for part in _corpus(3) for t in part]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plain = PlainKneserNey([t for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 7 != 2], 3)
+    got = {r.doc_id: r.score for r in op3_kneser_ney(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for k, t in enumerate(texts):
+        assert math.isclose(got[k], plain.score(t), rel_tol=1e-9), (k, t)
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all words of the vocabulary, and one share for any other, after any context."""
     texts = ["a b a c a b d", "b a b b c", "c a d", "a b"] * 2 + ["e a b c d e f g h i", "a c a d a e"]
