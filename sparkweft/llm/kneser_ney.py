@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sparkweft.llm.arrays import ROWS, batch, bits_for, buckets, dealt, more_bits, planes, redealt, together, unplanes, write_bucket
 from sparkweft.llm.common import shared_folder
-from sparkweft.llm.words import WordHashes, lower_az, mixed, split_words
+from sparkweft.llm.words import SPACE_RUN, lower_az, mixed
 
 ORDER = 3
 END = xxhash.xxh64_intdigest("\n")
@@ -47,26 +47,72 @@ _U = np.uint64
 _GRAMS, _CONTEXTS, _CLASSES = 0, 1, 2
 
 
-def token_blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+#: What a byte of a text counts in the hash of its word, by its place: large letters as small ones, space and \\t to \\r nothing.
+_BYTES = np.array([0 if SPACE_RUN.match(chr(b)) else int(mixed(np.array([lower_az(chr(b)).encode("latin1")[0] + 1], _U))[0]) for b in range(256)], _U)
+_BY_PLACE = 0x9E3779B97F4A7C15
+#: Bytes whose hashes are made at once.
+_AT_ONCE = 1_000_000
+
+
+def hashed_texts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens of the texts (UTF-8) that stand between the edges, and tokens of each text."""
+    value = _BYTES[data]
+    first = value != 0
+    first[1:] &= ~first[:-1]
+    heads = edges[:-1][edges[:-1] < len(data)]
+    first[heads] = value[heads] != 0
+    starts = np.flatnonzero(first)
+    sizes = np.diff(np.searchsorted(starts, edges)) + 1
+    out = np.full(len(starts) + len(sizes), END, _U)
+    if len(starts):
+        value = value[starts[0] :]
+        starts = starts - starts[0]
+        at = np.arange(len(value)) - np.repeat(starts, np.diff(np.append(starts, len(value))))
+        powers = np.full(int(at.max()) + 1, _BY_PLACE, _U)
+        powers[0] = 1
+        is_word = np.ones(len(out), bool)
+        is_word[np.cumsum(sizes) - 1] = False
+        out[is_word] = mixed(np.add.reduceat(value * np.multiply.accumulate(powers)[at], starts))
+    return out, sizes
+
+
+class WordHashes:
+    """Hash of a word by itself, as hashed_texts has it."""
+
+    def __getitem__(self, word: str) -> int:
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(hashed_texts(data, np.array([0, len(data)]))[0][0])
+
+
+def token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(rows of the batches' other columns, hashes of all tokens, tokens of each text)."""
-    rows, parts, chars = [], [], 0
-    end = np.array([END], _U)
-
-    def block() -> tuple[list, np.ndarray, np.ndarray]:
-        return rows, np.concatenate(parts), np.array([len(p) for p in parts[::2]], np.int64) + 1
-
+    rows, parts, size = [], [], 0
     for b in batches:
         other = b.drop_columns("text").to_pylist()
-        for row, text in zip(other, b["text"], strict=True):
-            t = text.as_py() or ""
-            parts += [hashes.of(split_words(lower_az(t))), end]
-            rows.append(row)
-            chars += len(t)
-            if chars >= BLOCK_CHARS:
-                yield block()
-                rows, parts, chars = [], [], 0
-    if rows:
-        yield block()
+        texts = b["text"].cast(pa.large_string()).fill_null("")
+        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        a = 0
+        while a < len(texts):
+            z = max(a + 1, int(np.searchsorted(edges, edges[a] + _AT_ONCE, "right")) - 1)
+            parts.append(hashed_texts(data[edges[a] : edges[z]], edges[a : z + 1] - edges[a]))
+            rows += other[a:z]
+            size += int(edges[z] - edges[a])
+            a = z
+            if size >= BLOCK_CHARS:
+                yield rows, *(np.concatenate(x) for x in zip(*parts, strict=True))
+                rows, parts, size = [], [], 0
+    if parts:
+        yield rows, *(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, and the place among them of each."""
+    codes, found = pd.factorize(h)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[codes]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +163,8 @@ class Shape:
         self.offsets, self.tokens, self.more = offsets, tokens, more_bits(bits)
         self.types = int(offsets[-1])
         self.span = max(1, -(-self.types // (1 << self.range_bits)))
+        #: Words whose grams share a bucket of the highest order.
+        self.core_span = max(1, -(-self.types >> bits))
         self.end = -1
         #: For each order: how many grams have the counts 1 to 4 and more; discounts; sum of counts.
         self.classes = {k: [0] * 5 for k in range(1, order + 1)}
@@ -140,22 +188,30 @@ class Shape:
         return (h >> _U(64 - self.bits)).astype(np.int64)
 
     def several(self, least: np.ndarray) -> np.ndarray:
-        """Buckets of the highest order that a context is spread over; least: the count of its rarest word, which it cannot exceed."""
-        return np.minimum(1 + least * (1 << self.bits) // max(self.tokens, 1), 1 << self.bits)
+        """Buckets of the highest order that a core is spread over, if it may hold twice a bucket's share; least: the count of its rarest word, which it cannot exceed."""
+        return np.minimum(1 + least * (1 << self.bits) // max(2 * self.tokens, 1), 1 << self.bits)
+
+    def home(self, core: list[np.ndarray]) -> np.ndarray:
+        """Buckets of cores that are not spread; words' ids are in the order of their hashes, so ranges of them are as even."""
+        return core[0] // self.core_span if len(core) == 1 else self.place(gram_hash(core))
+
+    def top_place(self, gram: list[np.ndarray], several: np.ndarray) -> np.ndarray:
+        """Buckets of grams of the highest order: by their core, the words that context and suffix share; of two words by the first."""
+        more = mixed((gram[0] if len(gram) > 2 else gram[-1]).astype(_U) * _U(_BY_PLACE) + gram[-1].astype(_U)) % several.astype(_U)
+        return (self.home(core_of(gram)) + more.astype(np.int64)) & ((1 << self.bits) - 1)
 
-    def top_place(self, context: np.ndarray, word: np.ndarray, several: np.ndarray) -> np.ndarray:
-        """Buckets of grams of the highest order."""
-        more = mixed(word.astype(_U) ^ _U(0x5BD1E995)) % several.astype(_U)
-        return (self.place(context) + more.astype(np.int64)) & ((1 << self.bits) - 1)
+
+def core_of(gram: list[np.ndarray]) -> list[np.ndarray]:
+    return gram[1:-1] if len(gram) > 2 else gram[:-1]
 
 
 def _count_words(rows: DataFrame, folder: str, bits: int, order: int) -> Shape:
     more = more_bits(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for _, h, _ in token_blocks(batches, hashes):
-            keys, n = np.unique(h, return_counts=True)
+        for _, h, _ in token_blocks(batches):
+            keys, back = numbered(h)
+            n = np.bincount(back, minlength=len(keys))
             yield batch(dealt(0, 0, (keys >> _U(64 - bits)).astype(np.int64), [keys, n], more))
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -181,26 +237,52 @@ def _followed(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.n
     return order[heads], [np.add.reduceat(x, heads) for x in (n, *((np.minimum(n, 3) == c).astype(np.int64) for c in (1, 2, 3)))]
 
 
-def _store_grams(shape: Shape, level: int, bucket: int, h: np.ndarray, n: np.ndarray) -> None:
-    write_bucket(shape.folder, f"grams{level}-{bucket}", [h, np.minimum(n, 255).astype(np.uint8)])
-    many = n >= 255
+def _store_small(shape: Shape, name: str, keys: list[np.ndarray], counts: list[np.ndarray]) -> None:
+    """Rows with counts of which the first is the largest: a byte each, and rows with 255 or more once more in full."""
+    write_bucket(shape.folder, name, [*keys, *(np.minimum(c, 255).astype(np.uint8) for c in counts)])
+    big = np.flatnonzero(counts[0] >= 255)
+    if len(big):
+        write_bucket(shape.folder, f"big-{name}", [big, *(c[big] for c in counts)])
+
+
+def _small(shape: Shape, prefix: str, bucket: int, columns: list[np.ndarray], k: np.ndarray) -> np.ndarray:
+    """The counts of rows k of what _store_small stored; columns: those of the counts."""
+    out = np.stack([c[k] for c in columns]).astype(np.int64)
+    big = np.flatnonzero(out[0] == 255)
+    if len(big):
+        row, *full = buckets(shape.folder, f"big-{prefix}", ["<i8"] * (1 + len(columns)))[bucket]
+        out[:, big] = np.stack([c[np.searchsorted(row, k[big])] for c in full])
+    return out
+
+
+def _gram_keys(h: np.ndarray) -> np.ndarray:
+    """Hashes turned so that the bits of the bucket come last."""
+    return (h << _U(20)) | (h >> _U(44))
+
+
+def _store_grams(shape: Shape, name: str, h: np.ndarray, n: np.ndarray) -> None:
+    """Six bytes a gram: 45 bits of its hash and three of its count; counts from 7 on once more in full."""
+    key = _gram_keys(h)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    write_bucket(shape.folder, name, [(key >> _U(32)).astype(np.uint32), ((key >> _U(16) & _U(0xFFF8)) | np.minimum(n, 7).astype(_U)).astype(np.uint16)])
+    many = n >= 7
     if many.any():
-        write_bucket(shape.folder, f"many{level}-{bucket}", [h[many], n[many]])
+        write_bucket(shape.folder, f"many-{name}", [key[many], n[many]])
 
 
 def _store_contexts(shape: Shape, name: str, h: np.ndarray, counts: list[np.ndarray]) -> None:
     order = np.argsort(h)
-    write_bucket(shape.folder, name, [h[order], *(c[order] for c in counts)])
+    _store_small(shape, name, [h[order]], [c[order] for c in counts])
 
 
-def _merge(shape: Shape, level: int, bucket: int, part: pd.DataFrame) -> list[tuple]:
-    """Grams of a bucket: stored; what the levels below and the contexts need of them comes back as rows."""
-    *ids, n = together(part)
-    spread = ids.pop() if level == shape.order else None
-    h, n, first = summed(gram_hash(ids), n)
-    ids = [x[first] for x in ids]
-    _store_grams(shape, level, bucket, h, n)
-    out = [(_CLASSES, -1, level, [planes(np.append(np.bincount(np.minimum(n, 5), minlength=6)[1:6], n.sum()).astype("<i8"))])]
+def _classes(level: int, n: np.ndarray) -> tuple:
+    return _CLASSES, -1, level, [planes(np.append(np.bincount(np.minimum(n, 5), minlength=6)[1:6], n.sum()).astype("<i8"))]
+
+
+def _below(shape: Shape, level: int, ids: list[np.ndarray], n: np.ndarray) -> list[tuple]:
+    """What the levels below and the contexts need of whole grams of a level below the highest, or of two words."""
+    out = [_classes(level, n)]
     if level == 2:  # contexts are words, with dense arrays by ranges of ids
         at, counts = _followed(ids[0], n)
         context = ids[0][at]
@@ -208,45 +290,64 @@ def _merge(shape: Shape, level: int, bucket: int, part: pd.DataFrame) -> list[tu
     else:
         hashed = gram_hash(ids[:-1])
         at, counts = _followed(hashed, n)
-        own = np.zeros(len(at), bool)
-        if spread is not None:
-            own = spread[first][at] == 1
-            # A context with one gram seen once is known by its own gram below, unless it is made of ends.
-            seen = own & ((counts[0] > 1) | (ids[-2][at] == shape.end))
-            _store_contexts(shape, f"own-{bucket}", hashed[at][seen], [c[seen] for c in counts])
-        rest = ~own
-        out += dealt(_CONTEXTS, level, shape.place(hashed[at][rest]), [hashed[at][rest], *(c[rest] for c in counts)], shape.more)
+        out += dealt(_CONTEXTS, level, shape.place(hashed[at]), [hashed[at], *counts], shape.more)
     # Each gram is one more word before its suffix.
-    below = gram_hash(ids[1:]) if level > 2 else ids[1]
-    suffix, count, at = summed(below, np.ones(len(n), np.int64))
+    suffix, count, at = summed(gram_hash(ids[1:]) if level > 2 else ids[1], np.ones(len(n), np.int64))
     of = shape.place(suffix) if level > 2 else suffix // shape.span
     return out + dealt(_GRAMS, level - 1, of, [*(x[at] for x in ids[1:]), count], shape.more)
 
 
-def _gather(shape: Shape, key: tuple, part: pd.DataFrame) -> list[tuple]:
-    """What came of a bucket of one kind and level: stored, or passed on."""
+def _merge(shape: Shape, level: int, bucket: int, part: pd.DataFrame) -> list[tuple]:
+    """Grams of a bucket: stored; what the levels below and the contexts need of them comes back as rows."""
+    *ids, n = together(part)
+    spread = ids.pop() if level == shape.order else None
+    h, n, first = summed(gram_hash(ids), n)
+    ids = [x[first] for x in ids]
+    _store_grams(shape, f"grams{level}-{bucket}", h, n)
+    if spread is None or level == 2:
+        return _below(shape, level, ids, n)
+    # Where the core is not spread, both the contexts and the suffixes are whole in this bucket.
+    own = spread[first] == 1
+    hashed = gram_hash(ids[:-1])
+    at, counts = _followed(hashed, n)
+    # A context with one gram seen once is known by its own gram below, unless it is made of ends.
+    seen = own[at] & ((counts[0] > 1) | (ids[-2][at] == shape.end))
+    _store_contexts(shape, f"own-{bucket}", hashed[at][seen], [c[seen] for c in counts])
+    rest = ~own[at]
+    out = [_classes(level, n), *dealt(_CONTEXTS, level, shape.place(hashed[at][rest]), [hashed[at][rest], *(c[rest] for c in counts)], shape.more)]
+    suffix, count, at = summed(gram_hash(ids[1:]), np.ones(len(n), np.int64))
+    whole = own[at]
+    below = [x[at] for x in ids[1:]]
+    if whole.any():
+        _store_grams(shape, f"inner-{bucket}", suffix[whole], count[whole])
+        out += _below(shape, level - 1, [x[whole] for x in below], count[whole])
+    return out + dealt(_GRAMS, level - 1, shape.place(suffix[~whole]), [*(x[~whole] for x in below), count[~whole]], shape.more)
+
+
+def _gather(shape: Shape, stage: int, key: tuple, part: pd.DataFrame) -> list[tuple]:
+    """What came of a bucket of one kind and level: stored, or passed on until the stage after which no more of it can come."""
     kind, bucket, level = (int(x) for x in key)
     if kind == _CLASSES:
         return [(kind, bucket, level, [planes(np.sum([unplanes(c[0], "<i8") for c in part["cols"]], axis=0))])]
     if kind == _GRAMS and level > 1:
-        return _merge(shape, level, bucket, part)
-    columns = together(part)
-    if kind == _GRAMS:
-        preceded = np.zeros(shape.span, np.int64)
-        np.add.at(preceded, columns[0] - bucket * shape.span, columns[1])
-        write_bucket(shape.folder, f"words-{bucket}", [preceded])
-        return [(_CLASSES, -1, 1, [planes(np.append(np.bincount(np.minimum(preceded, 5), minlength=6)[1:6], preceded.sum()).astype("<i8"))])]
-    if level == 2:
-        dense = np.zeros((4, shape.span), np.int64)
-        for k, c in enumerate(columns[1:]):
-            np.add.at(dense[k], columns[0] - bucket * shape.span, c)
-        write_bucket(shape.folder, f"after-{bucket}", list(dense))
+        if stage > shape.order - level:
+            return _merge(shape, level, bucket, part)
+        *ids, n = together(part)
+        _, n, first = summed(gram_hash(ids), n)
+        return dealt(kind, level, np.full(len(n), bucket), [*(x[first] for x in ids), n], shape.more)
+    given, *columns = together(part)
+    given = given.view(_U) if level > 2 else given
+    keys, where = np.unique(given, return_inverse=True)
+    counts = [np.bincount(where, c, minlength=len(keys)).astype(np.int64) for c in columns]
+    if stage < shape.order and (level < shape.order or kind == _GRAMS):
+        return dealt(kind, level, np.full(len(keys), bucket), [keys, *counts], shape.more)
+    if level > 2:
+        _store_contexts(shape, f"contexts{level}-{bucket}", keys, counts)
         return []
-    h, _, at = summed(columns[0].view(_U), columns[1])
-    where = np.searchsorted(h, columns[0].view(_U))
-    counts = [np.bincount(where, c, minlength=len(h)).astype(np.int64) for c in columns[1:]]
-    write_bucket(shape.folder, f"contexts{level}-{bucket}", [h, *counts])
-    return []
+    dense = np.zeros((len(counts), shape.span), np.int64)
+    dense[:, keys - bucket * shape.span] = counts
+    _store_small(shape, f"{'words' if kind == _GRAMS else 'after'}-{bucket}", [], list(dense))
+    return [_classes(1, dense[0])] if kind == _GRAMS else []
 
 
 def _count_grams(rows: DataFrame, shape: Shape) -> None:
@@ -256,24 +357,28 @@ def _count_grams(rows: DataFrame, shape: Shape) -> None:
         return pd.DataFrame(made, columns=["kind", "bucket", "level", "cols"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for _, h, sizes in token_blocks(batches, hashes):
-            distinct, back = np.unique(h, return_inverse=True)
+        for _, h, sizes in token_blocks(batches):
+            distinct, back = numbered(h)
             known, counts = shape.words(distinct)
             ids = windows(known[back], sizes, shape.end, order)
-            least = windows(counts[back], sizes, int(counts[np.searchsorted(distinct, _U(END))]), order)[:-1]
-            _, n, first = summed(gram_hash(ids), np.ones(len(back), np.int64))
+            least = core_of(windows(counts[back], sizes, int(counts[np.searchsorted(distinct, _U(END))]), order))
+            codes, found = pd.factorize(gram_hash(ids))
+            n, first = np.bincount(codes), np.empty(len(found), np.int64)
+            first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+            # Sorted by a word of the core, which then takes little room in the shuffle.
+            sort = np.argsort(core_of(ids)[0][first])
+            first, n = first[sort], n[sort]
             ids = [x[first] for x in ids]
             spread = shape.several(np.min([x[first] for x in least], axis=0))
-            of = shape.top_place(gram_hash(ids[:-1]), ids[-1], spread)
+            of = shape.top_place(ids, spread)
             yield batch(dealt(_GRAMS, order, of, [*ids, np.minimum(spread, 2), n], shape.more))
 
-    gather = lambda rows: redealt(rows, shape.more, _CLASSES).groupBy("kind", "bucket", "level").applyInPandas(lambda key, part: frame(_gather(shape, key, part)), ROWS)
+    gather = lambda rows, stage: redealt(rows, shape.more, _CLASSES).groupBy("kind", "bucket", "level").applyInPandas(lambda key, part: frame(_gather(shape, stage, key, part)), ROWS)
     found = rows.mapInArrow(run, ROWS)
-    for _ in range(order):
-        found = gather(found)
+    for stage in range(1, order + 1):
+        found = gather(found, stage)
     # Each stage sums the classes of the one before, so a row for each order and few more come back.
-    for r in gather(found).collect():
+    for r in gather(found, order + 1).collect():
         *classes, total = unplanes(bytes(r["cols"][0]), "<i8").tolist()
         level = r["level"]
         shape.classes[level], shape.total[level] = classes, total
@@ -291,49 +396,70 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Shape:
     return shape
 
 
-def _at(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray, kinds: list[str]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
-    """(bucket, its columns, rows of keys found in it, their places), bucket by bucket."""
+def _in_buckets(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its rows), bucket by bucket."""
     order = np.argsort(of, kind="stable")
     own = of[order]
     edges = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)] if len(own) else [0]
-    table = buckets(shape.folder, prefix, kinds)
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        columns = table[int(own[a])]
-        if len(columns[0]):
-            rows = order[a:b]
-            k = np.minimum(np.searchsorted(columns[0], keys[rows]), len(columns[0]) - 1)
-            hit = columns[0][k] == keys[rows]
-            yield int(own[a]), columns, rows[hit], k[hit]
+        yield int(own[a]), order[a:b]
+
+
+def _contexts(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Sum of counts and numbers of grams with counts 1, 2, more of distinct contexts, by their hashes and buckets."""
+    out = np.zeros((4, len(keys)), np.int64)
+    table = buckets(shape.folder, prefix, ["<u8"] + ["|u1"] * 4)
+    for bucket, rows in _in_buckets(of):
+        h, *columns = table[bucket]
+        if len(h):
+            k = np.minimum(np.searchsorted(h, keys[rows]), len(h) - 1)
+            hit = h[k] == keys[rows]
+            out[:, rows[hit]] = _small(shape, prefix, bucket, columns, k[hit])
+    return out
 
 
-def _gram_counts(shape: Shape, level: int, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def _gram_counts(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Counts of distinct grams by their hashes and buckets."""
     out = np.zeros(len(keys), np.int64)
-    for bucket, columns, rows, k in _at(shape, f"grams{level}-", of, keys, ["<u8", "|u1"]):
-        out[rows] = columns[1][k]
-        big = rows[columns[1][k] == 255]
-        if len(big):
-            mk, mn = buckets(shape.folder, f"many{level}-", ["<u8", "<i8"])[bucket]
-            out[big] = mn[np.searchsorted(mk, keys[big])]
+    keys = _gram_keys(keys)
+    high, low = (keys >> _U(32)).astype(np.uint32), (keys >> _U(19) & _U(0x1FFF)).astype(np.uint16)
+    table = buckets(shape.folder, prefix, ["<u4", "<u2"])
+    for bucket, rows in _in_buckets(of):
+        h, rest = table[bucket]
+        k = np.searchsorted(h, high[rows])
+        while True:  # grams that share 32 bits stand side by side
+            there = np.flatnonzero(k < len(h))
+            there = there[h[k[there]] == high[rows[there]]]
+            rows, k = rows[there], k[there]
+            if not len(rows):
+                break
+            found = rest[k]
+            same = found >> 3 == low[rows]
+            out[rows[same]] = found[same] & 7
+            rows, k = rows[~same], k[~same] + 1
+    big = np.flatnonzero(out == 7)
+    table = buckets(shape.folder, f"many-{prefix}", ["<u8", "<i8"])
+    for bucket, rows in _in_buckets(of[big]):
+        h, n = table[bucket]
+        # By the bits that are stored.
+        out[big[rows]] = n[np.searchsorted(h >> _U(19), keys[big[rows]] >> _U(19))]
     return out
 
 
 def _dense(shape: Shape, prefix: str, ids: np.ndarray, columns: int) -> np.ndarray:
     """Columns of dense arrays at the ids of known words (0 elsewhere)."""
     out = np.zeros((columns, len(ids)), np.int64)
-    part_of = np.where(ids >= 0, ids // shape.span, -1)
-    table = buckets(shape.folder, prefix, ["<i8"] * columns)
-    for r in np.unique(part_of[part_of >= 0]):
-        own = np.flatnonzero(part_of == r)
-        for k, column in enumerate(table[int(r)]):
-            if len(column):
-                out[k, own] = column[ids[own] - r * shape.span]
+    there = np.flatnonzero(ids >= 0)
+    table = buckets(shape.folder, prefix, ["|u1"] * columns)
+    for r, rows in _in_buckets(ids[there] // shape.span):
+        if len(table[r][0]):
+            out[:, there[rows]] = _small(shape, prefix, r, table[r], ids[there[rows]] - r * shape.span)
     return out
 
 
 def token_scores(shape: Shape, h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Training count, unigram base and model log10 probability of each token."""
-    distinct, back = np.unique(h, return_inverse=True)
+    distinct, back = numbered(h)
     ids, counts = shape.words(distinct)
     v, n = shape.types, shape.tokens
     base = np.log10((counts + 1) / (n + v + 1))
@@ -354,11 +480,23 @@ def token_scores(shape: Shape, h: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
         gram = word[-level:]
         known = known & (gram[0] >= 0)
         hashed, context = gram_hash(gram), gram_hash(gram[:-1])
-        spread = shape.several(np.min(of_word[-level:-1], axis=0)) if level == shape.order else None
-        of = shape.place(hashed) if spread is None else shape.top_place(context, gram[-1], spread)
-        keys, first, where = np.unique(hashed[known], return_index=True, return_inverse=True)
+        top = level == shape.order
+        keys, where = numbered(hashed[known])
+        first = np.empty(len(keys), np.int64)
+        first[where] = np.flatnonzero(known)
+        some = [x[first] for x in gram]
+        found = np.zeros(len(keys), np.int64)
+        if top:
+            of = shape.top_place(some, shape.several(np.min([x[first] for x in core_of(of_word[-level:])], axis=0)))
+            found = _gram_counts(shape, f"grams{level}-", of, keys)
+        else:  # whole in the bucket of the highest order that has their core, if that is not spread
+            inner = np.zeros(len(keys), bool)
+            if level == shape.order - 1:
+                inner = shape.several(np.min([x[first] for x in of_word[-level:-1]], axis=0)) == 1
+                found[inner] = _gram_counts(shape, "inner-", shape.home([x[inner] for x in some[:-1]]), keys[inner])
+            found[~inner] = _gram_counts(shape, f"grams{level}-", shape.place(keys[~inner]), keys[~inner])
         c = np.zeros(len(h), np.int64)
-        c[known] = _gram_counts(shape, level, of[known][first], keys)[where]
+        c[known] = found[where]
         if level == 2:
             stats = np.where(row >= 0, after[:, row], end_after[:, None])
         else:
@@ -366,14 +504,18 @@ def token_scores(shape: Shape, h: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
             once = np.zeros(len(h), bool)
             once[1:] = seen_below[:-1] & (word[-2][1:] != shape.end)
             there = np.flatnonzero(np.all([x >= 0 for x in gram[:-1]], axis=0))
-            keys, first, where = np.unique(context[there], return_index=True, return_inverse=True)
+            keys, where = numbered(context[there])
+            first = np.empty(len(keys), np.int64)
+            first[where] = there
             found = np.zeros((4, len(keys)), np.int64)
-            own = np.zeros(len(keys), bool) if spread is None else spread[there][first] == 1
-            for prefix, some in (("own-", np.flatnonzero(own)), (f"contexts{level}-", np.flatnonzero(~own))):
-                for _, columns, rows, k in _at(shape, prefix, shape.place(keys[some]), keys[some], ["<u8"] + ["<i8"] * 4):
-                    found[:, some[rows]] = np.stack([x[k] for x in columns[1:]])
+            own = np.zeros(len(keys), bool)
+            if top:
+                own = shape.several(np.min([x[first] for x in core_of(of_word[-level:])], axis=0)) == 1
+                found[:, own] = _contexts(shape, "own-", shape.home([x[first[own]] for x in core_of(gram)]), keys[own])
+            found[:, ~own] = _contexts(shape, f"contexts{level}-", shape.place(keys[~own]), keys[~own])
             stats[:, there] = found[:, where]
-            single = once & (stats[0] == 0) & (spread == 1 if spread is not None else False)
+            single = once & (stats[0] == 0)
+            single[there] &= own[where]
             stats[0, single] = stats[1, single] = 1
         total = np.maximum(stats[0], 1)
         d = shape.discounts[level]
@@ -390,8 +532,7 @@ def lm_scores(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text
     shape = train(flagged.filter("train"), order=order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for rows, h, sizes in token_blocks(batches, hashes):
+        for rows, h, sizes in token_blocks(batches):
             count, base, score = token_scores(shape, h, sizes)
             heads = np.cumsum(sizes) - sizes
             total = np.add.reduceat(score, heads)
