@@ -126,7 +126,7 @@ class Buckets:
         """The file's bytes: mapped, or read where it cannot be; None without one."""
         if self.local:
             path = f"{self.local}/{name}"
-            return np.memmap(path, np.uint8, "r") if os.path.exists(path) else None
+            return np.memmap(path, np.uint8, "r").view(np.ndarray) if os.path.exists(path) else None
         from pyarrow import fs
 
         system, path = fs.FileSystem.from_uri(self.folder)

@@ -42,6 +42,8 @@ from sparkweft.llm.words import SPACE_RUN, lower_az, mixed
 ORDER = 3
 END = xxhash.xxh64_intdigest("\n")
 BLOCK_CHARS = 6_000_000
+#: Of texts that are scored, which takes more arrays a token than counting.
+SCORED_CHARS = 3_000_000
 _U = np.uint64
 #: What a row of counts between stages is: grams of the next order, parts of contexts, or how many grams have which count.
 _GRAMS, _CONTEXTS, _CLASSES = 0, 1, 2
@@ -84,7 +86,7 @@ class WordHashes:
         return int(hashed_texts(data, np.array([0, len(data)]))[0][0])
 
 
-def token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def token_blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(rows of the batches' other columns, hashes of all tokens, tokens of each text)."""
     rows, parts, size = [], [], 0
     for b in batches:
@@ -99,7 +101,7 @@ def token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.n
             rows += other[a:z]
             size += int(edges[z] - edges[a])
             a = z
-            if size >= BLOCK_CHARS:
+            if size >= most:
                 yield rows, *(np.concatenate(x) for x in zip(*parts, strict=True))
                 rows, parts, size = [], [], 0
     if parts:
@@ -398,7 +400,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Shape:
 
 def _in_buckets(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, its rows), bucket by bucket."""
-    order = np.argsort(of, kind="stable")
+    # Numbers of 16 bits are sorted by their digits.
+    order = np.argsort(of.astype(np.uint16) if len(of) and of.max() < 1 << 16 else of, kind="stable")
     own = of[order]
     edges = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)] if len(own) else [0]
     for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -406,7 +409,7 @@ def _in_buckets(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _contexts(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Sum of counts and numbers of grams with counts 1, 2, more of distinct contexts, by their hashes and buckets."""
+    """Sum of counts and numbers of grams with counts 1, 2, more of contexts, by their hashes and buckets."""
     out = np.zeros((4, len(keys)), np.int64)
     table = buckets(shape.folder, prefix, ["<u8"] + ["|u1"] * 4)
     for bucket, rows in _in_buckets(of):
@@ -419,7 +422,7 @@ def _contexts(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray) -> np
 
 
 def _gram_counts(shape: Shape, prefix: str, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Counts of distinct grams by their hashes and buckets."""
+    """Counts of grams by their hashes and buckets."""
     out = np.zeros(len(keys), np.int64)
     keys = _gram_keys(keys)
     high, low = (keys >> _U(32)).astype(np.uint32), (keys >> _U(19) & _U(0x1FFF)).astype(np.uint16)
@@ -481,22 +484,20 @@ def token_scores(shape: Shape, h: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
         known = known & (gram[0] >= 0)
         hashed, context = gram_hash(gram), gram_hash(gram[:-1])
         top = level == shape.order
-        keys, where = numbered(hashed[known])
-        first = np.empty(len(keys), np.int64)
-        first[where] = np.flatnonzero(known)
-        some = [x[first] for x in gram]
-        found = np.zeros(len(keys), np.int64)
+        at = np.flatnonzero(known)
+        some, keys = [x[at] for x in gram], hashed[at]
         if top:
-            of = shape.top_place(some, shape.several(np.min([x[first] for x in core_of(of_word[-level:])], axis=0)))
+            of = shape.top_place(some, shape.several(np.min([x[at] for x in core_of(of_word[-level:])], axis=0)))
             found = _gram_counts(shape, f"grams{level}-", of, keys)
         else:  # whole in the bucket of the highest order that has their core, if that is not spread
-            inner = np.zeros(len(keys), bool)
+            found = np.zeros(len(at), np.int64)
+            inner = np.zeros(len(at), bool)
             if level == shape.order - 1:
-                inner = shape.several(np.min([x[first] for x in of_word[-level:-1]], axis=0)) == 1
+                inner = shape.several(np.min([x[at] for x in of_word[-level:-1]], axis=0)) == 1
                 found[inner] = _gram_counts(shape, "inner-", shape.home([x[inner] for x in some[:-1]]), keys[inner])
             found[~inner] = _gram_counts(shape, f"grams{level}-", shape.place(keys[~inner]), keys[~inner])
         c = np.zeros(len(h), np.int64)
-        c[known] = found[where]
+        c[at] = found
         if level == 2:
             stats = np.where(row >= 0, after[:, row], end_after[:, None])
         else:
@@ -504,18 +505,14 @@ def token_scores(shape: Shape, h: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
             once = np.zeros(len(h), bool)
             once[1:] = seen_below[:-1] & (word[-2][1:] != shape.end)
             there = np.flatnonzero(np.all([x >= 0 for x in gram[:-1]], axis=0))
-            keys, where = numbered(context[there])
-            first = np.empty(len(keys), np.int64)
-            first[where] = there
-            found = np.zeros((4, len(keys)), np.int64)
-            own = np.zeros(len(keys), bool)
+            own = np.zeros(len(h), bool)
             if top:
-                own = shape.several(np.min([x[first] for x in core_of(of_word[-level:])], axis=0)) == 1
-                found[:, own] = _contexts(shape, "own-", shape.home([x[first[own]] for x in core_of(gram)]), keys[own])
-            found[:, ~own] = _contexts(shape, f"contexts{level}-", shape.place(keys[~own]), keys[~own])
-            stats[:, there] = found[:, where]
-            single = once & (stats[0] == 0)
-            single[there] &= own[where]
+                own[there] = shape.several(np.min([x[there] for x in core_of(of_word[-level:])], axis=0)) == 1
+                whole = np.flatnonzero(own)
+                stats[:, whole] = _contexts(shape, "own-", shape.home([x[whole] for x in core_of(gram)]), context[whole])
+            rest = there[~own[there]]
+            stats[:, rest] = _contexts(shape, f"contexts{level}-", shape.place(context[rest]), context[rest])
+            single = once & own & (stats[0] == 0)
             stats[0, single] = stats[1, single] = 1
         total = np.maximum(stats[0], 1)
         d = shape.discounts[level]
@@ -532,7 +529,7 @@ def lm_scores(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text
     shape = train(flagged.filter("train"), order=order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, h, sizes in token_blocks(batches):
+        for rows, h, sizes in token_blocks(batches, SCORED_CHARS):
             count, base, score = token_scores(shape, h, sizes)
             heads = np.cumsum(sizes) - sizes
             total = np.add.reduceat(score, heads)
