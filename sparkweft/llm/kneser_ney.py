@@ -4,21 +4,23 @@ Tokens are words after lower-casing A-Z and an end after each text; what precede
 order - 1 times. Counting takes two passes over the training rows, each combined within its blocks first:
 
 1. Words: counts by 64-bit hash, in sorted arrays; a word's id is its rank, so ids are dense.
-2. Grams of the highest order as ids with counts, dealt to buckets by the context; contexts that may hold
-   more than a bucket's share are spread over several by the last word. Each bucket becomes a sorted array of
-   64-bit hashes and counts, and another of what its contexts are followed by once, twice and more.
+2. Grams of the highest order as ids with counts, dealt to buckets by the words that context and suffix share (by the
+   context in a model of two words); where these may hold more than twice a bucket's share they are spread over several.
+   Each bucket becomes a sorted array of hashes and counts, another of what its contexts are followed by once, twice
+   and more, and one of the grams of the order below, which are whole there.
 
 Then no text is read again: the distinct grams of an order give the grams of the order below (their suffixes) with the
-number of words that precede them, dealt to buckets by the gram, and so on down to words. Contexts of one word have dense
-arrays by ranges of ids; longer contexts whose grams lie in several buckets are gathered by the context.
+number of words that precede them; those that are not whole in a bucket are dealt by the gram, and so on down to words.
+Contexts of one word have dense arrays by ranges of ids; longer ones that are spread are gathered by the context.
 
 p(w | u v) = (c(u v w) - D(c)) / c(u v) + (D1 N1 + D2 N2 + D3 N3) / c(u v) * p(w | v) with the counts of words that
 precede in place of c below the highest order, and 1 / (V + 1) below words, so unknown words have a share and p sums to
 one; after an unseen context p is that of the order below. No counts are pruned: the model grows with the corpus, and
 workers see it through the page cache.
 
-Hashes: words and grams are told apart by 64 bits. Of n different ones about n / 2^64 share theirs with a given one: a
-lookup among 10^12 is wrong in less than 1 of 10^7 cases, and then mixes two counts.
+Hashes: words are told apart by 64 bits of sums over their bytes, grams by 45 bits besides their bucket. A lookup among n
+different grams of a bucket is wrong in about n of 2^45 cases, and then takes another's count: less than 1 of 10^8 with
+100,000 a bucket.
 
 Defined results: null text is the end alone; without training rows every token has probability one;
 null flags of training count as false; repeated rows count each time; other columns are ignored.
@@ -26,6 +28,7 @@ null flags of training count as false; repeated rows count each time; other colu
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,9 +44,7 @@ from sparkweft.llm.words import SPACE_RUN, lower_az, mixed
 
 ORDER = 3
 END = xxhash.xxh64_intdigest("\n")
-BLOCK_CHARS = 6_000_000
-#: Of texts that are scored, which takes more arrays a token than counting.
-SCORED_CHARS = 3_000_000
+BLOCK_CHARS = 3_000_000
 _U = np.uint64
 #: What a row of counts between stages is: grams of the next order, parts of contexts, or how many grams have which count.
 _GRAMS, _CONTEXTS, _CLASSES = 0, 1, 2
@@ -86,7 +87,7 @@ class WordHashes:
         return int(hashed_texts(data, np.array([0, len(data)]))[0][0])
 
 
-def token_blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(rows of the batches' other columns, hashes of all tokens, tokens of each text)."""
     rows, parts, size = [], [], 0
     for b in batches:
@@ -101,7 +102,7 @@ def token_blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_CHARS) ->
             rows += other[a:z]
             size += int(edges[z] - edges[a])
             a = z
-            if size >= most:
+            if size >= BLOCK_CHARS:
                 yield rows, *(np.concatenate(x) for x in zip(*parts, strict=True))
                 rows, parts, size = [], [], 0
     if parts:
@@ -393,6 +394,9 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Shape:
         raise ValueError("the order of the model is two at the least")
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     shape = _count_words(rows, shared_folder(docs.sparkSession, "grams"), bits_for(rows.rdd.getNumPartitions()), order)
+    # The shuffle of the words has been read; Spark removes its files when the driver collects its garbage.
+    gc.collect()
+    docs.sparkSession._jvm.System.gc()
     if shape.types:
         _count_grams(rows, shape)
     return shape
@@ -529,7 +533,7 @@ def lm_scores(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text
     shape = train(flagged.filter("train"), order=order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, h, sizes in token_blocks(batches, SCORED_CHARS):
+        for rows, h, sizes in token_blocks(batches):
             count, base, score = token_scores(shape, h, sizes)
             heads = np.cumsum(sizes) - sizes
             total = np.add.reduceat(score, heads)
