@@ -40,6 +40,7 @@ from sparkweft.llm.common import materialise
 
 SIZE, GROUP_ITEMS, MOST_ITEMS, BLOCK = 2048, 15_000, 1_000_000, 50_000
 _TOGETHER = 32  # texts whose new pieces are encoded in one call
+_ROWS = 512  # rows of a batch whose texts are strings at once
 
 
 #: Fixed value: where byte-level tokenizers of this family cut.
@@ -123,6 +124,9 @@ class Encoder:
         if new:
             known.update(zip(new, self._encode_pieces([*map(whole, new)]), strict=True))
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -130,6 +134,18 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int, bytes]]:
+    """(id, ids of the text) of each row. The pieces go with their task: a worker that waits, or works for another stage, takes its room from the same executor."""
+    enc = encoder(path)
+    try:
+        for b in batches:
+            for part in (b.slice(k, _ROWS) for k in range(0, b.num_rows, _ROWS)):
+                yield from zip(part["id"].to_pylist(), enc.of([x or "" for x in part["text"].to_pylist()]), strict=True)
+    finally:
+        enc.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def cut(n: int, size: int) -> Iterator[tuple[int, int]]:
     """(start, length) of the pieces of n tokens."""
     first = n - (n - 1) // size * size
@@ -172,7 +188,7 @@ def tokenised(docs: DataFrame, path: str, end: int = 0, size: int = SIZE, id_col
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, tail = encoder(path), np.array([end], "<u4").tobytes()
+        tail = np.array([end], "<u4").tobytes()
         begun, made = TaskContext.get().partitionId() << 36, 0
         block: list[list] = [[] for _ in names]
 
@@ -186,16 +202,15 @@ def tokenised(docs: DataFrame, path: str, end: int = 0, size: int = SIZE, id_col
                 v.clear()
             return pa.record_batch(out)
 
-        for b in batches:
-            for one, ids in zip(b["id"].to_pylist(), enc.of([x or "" for x in b["text"].to_pylist()]), strict=True):
-                ids += tail
-                for k, (start, n) in enumerate(cut(len(ids) // 4, size)):
-                    part = ids[4 * start : 4 * (start + n)]
-                    row = (one, k, start, n, zlib.crc32(part), *([np.frombuffer(part, "<u4").astype(np.int32)] * with_ids))
-                    for v, x in zip(block, row, strict=True):
-                        v.append(x)
-                if len(block[0]) >= BLOCK:
-                    yield packed()
+        for one, ids in encoded(batches, path):
+            ids += tail
+            for k, (start, n) in enumerate(cut(len(ids) // 4, size)):
+                part = ids[4 * start : 4 * (start + n)]
+                row = (one, k, start, n, zlib.crc32(part), *([np.frombuffer(part, "<u4").astype(np.int32)] * with_ids))
+                for v, x in zip(block, row, strict=True):
+                    v.append(x)
+            if len(block[0]) >= BLOCK:
+                yield packed()
         if block[0]:
             yield packed()
 

@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -546,3 +547,15 @@ def test_pack_documents(spark, docs, rows, group_items):
         assert spans[0][0] == 0 and spans[-1][1] <= 2048 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
     assert len(bins) <= -(-sum(r.length for r in got) // 2048) * 1.1 + 2
     assert packing.pack_documents(frame(spark, []), path).count() == 0
+
+
+def test_pieces_go_with_their_task(spark, docs, rows):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert {r["id"] for r in packing.tokenised(docs, path).collect()} == {r[0] for r in rows}
+
+    def remembered(batches):
+        for b in batches:
+            enc = packing.encoder(path)
+            yield pa.record_batch({"n": pa.array([len(enc.known) + len(enc.older)] * b.num_rows, pa.int64())})
+
+    assert {r["n"] for r in spark.range(0, 8, 1, 8).mapInArrow(remembered, "n long").collect()} == {0}
