@@ -28,7 +28,6 @@ null flags of training count as false; repeated rows count each time; other colu
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkweft.llm.arrays import ROWS, batch, bits_for, buckets, dealt, more_bits, planes, redealt, together, unplanes, write_bucket
-from sparkweft.llm.common import shared_folder
+from sparkweft.llm.common import shared_folder, shuffles_given_back
 from sparkweft.llm.words import SPACE_RUN, lower_az, mixed
 
 ORDER = 3
@@ -393,12 +392,10 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Shape:
     if order < 2:
         raise ValueError("the order of the model is two at the least")
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    shape = _count_words(rows, shared_folder(docs.sparkSession, "grams"), bits_for(rows.rdd.getNumPartitions()), order)
-    # The shuffle of the words has been read; Spark removes its files when the driver collects its garbage.
-    gc.collect()
-    docs.sparkSession._jvm.System.gc()
-    if shape.types:
-        _count_grams(rows, shape)
+    with shuffles_given_back(docs.sparkSession):
+        shape = _count_words(rows, shared_folder(docs.sparkSession, "grams"), bits_for(rows.rdd.getNumPartitions()), order)
+        if shape.types:
+            _count_grams(rows, shape)
     return shape
 
 

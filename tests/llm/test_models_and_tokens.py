@@ -308,6 +308,26 @@ def test_query_scores_by_trigrams(spark, tmp_path):
         assert math.isclose(got[k], plain.score(t), rel_tol=1e-9), (k, t)
 
 
+def test_training_gives_its_shuffles_back(spark, monkeypatch):
+    d = frame(spark, [(k, f"w{k % 7} w{k % 5} w{k}", "en", "s") for k in range(200)]).repartition(3).cache()
+    d.count()
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv
+
+    def files() -> int:
+        return env.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+
+    def settled(most: int) -> int:
+        until = time.time() + 10  # files go in the background
+        while files() > most and time.time() < until:
+            time.sleep(0.2)
+        return files()
+
+    there, count_grams, found = files(), kneser_ney._count_grams, []
+    monkeypatch.setattr(kneser_ney, "_count_grams", lambda rows, shape: (found.append(settled(there)), count_grams(rows, shape)))
+    assert kneser_ney.train(d).types > 200
+    assert found[0] <= there and settled(there) <= there
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all words of the vocabulary, and one share for any other, after any context."""
     texts = ["a b a c a b d", "b a b b c", "c a d", "a b"] * 2 + ["e a b c d e f g h i", "a c a d a e"]
