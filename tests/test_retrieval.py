@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkweft.config import Config
-from sparkweft.operators import coverage, discovery, evaluate, fts, graph, incremental, retrieve, store
+from sparkweft.functions.vector import cosine_similarity
+from sparkweft.operators import coverage, discovery, evaluate, fts, graph, incremental, nearest, retrieve, store
 from sparkweft.operators.embed import HashingEmbedder, build_embedder, resolve_device
 from sparkweft.operators.stemmer import stem
 from sparkweft.sources import files, web
@@ -52,6 +55,23 @@ def test_more_queries_than_one_broadcast_holds(spark, monkeypatch):
     assert found() == whole and len(cuts) == 3 + 5
 
 
+def test_batch_search_joins_no_pairs_and_keeps_their_scores(spark):
+    nan, inf, same = float("nan"), float("inf"), [0.1, 0.2, 0.3]
+    odd = [[0.0] * 3, [nan, 1.0, 2.0], [inf, 1.0, 0.0], [1.0, None, 2.0], [1.0, 2.0], [], None, [1e-30] * 3, [3e38, 1e38, 0.0]]
+    vectors = [odd[k % 13] if k % 13 < len(odd) else same if k % 2 else [float(k % 17 - 8), float(k % 5), 0.7] for k in range(300)]
+    rows = spark.createDataFrame([(None if k == 5 else f"é{k}", v) for k, v in enumerate(vectors)], "vec_id string, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([(k, v) for k, v in enumerate(vectors[:40])], "query_id int, query_vector array<float>")
+    pairs = rows.filter("embedding is not null").crossJoin(queries).select("query_id", "vec_id", cosine_similarity(F.col("embedding"), F.col("query_vector")).alias("score"))
+    made = retrieve.vector_topk_batch(rows, queries, 7, "vec_id")
+    shown = lambda df: sorted(repr(tuple(r)) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+    assert shown(made) == shown(fts.ranked(pairs, 7, "vec_id"))
+    assert "NestedLoopJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    best = nearest.Best(1, 2)
+    for start in range(0, 1000, 100):  # what a task holds follows the queries, not the rows
+        best.add(np.zeros(100, int), np.arange(start, start + 100) / 1000, np.zeros(100, bool), pa.array(range(start, start + 100)))
+    assert len(best.kept) == 2 and best.bound.tolist() == [0.998] and not best.waiting
+
+
 def test_rrf(spark):
     hits = spark.createDataFrame([(0, 1, "a", 0.9), (0, 2, "b", 0.8), (1, 1, "b", 0.95), (1, 2, "c", 0.7)], "list_ix int, rank int, chunk_id string, score double")
     got = [(r.chunk_id, round(r.score, 6), r.rank) for r in retrieve.reciprocal_rank_fusion(hits).orderBy("rank").collect()]
