@@ -15,12 +15,12 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from sparkweft.functions.rows import row_udf
 from sparkweft.operators.stemmer import stem
 from sparkweft.session import BROADCAST_ROWS
 
@@ -36,30 +36,29 @@ STOP = frozenset(
 )
 
 
-@lru_cache(maxsize=1 << 17)
+@lru_cache(maxsize=1 << 16)
 def _term(word: str, plain: bool) -> str | None:
     """The term of a word, None for a stop word."""
     return word if plain else None if word in STOP else stem(word)
 
 
-def analyze(text: str, plain: bool = False) -> list[tuple[str, int]]:
-    """(term, position from 1) of the tokens that are no stop words; positions count all tokens. plain: every token as it is."""
-    return [(t, k) for k, w in enumerate(_TOKEN.findall(text.lower()), 1) if (t := _term(w, plain)) is not None]
+def analyze(text: str, plain: bool = False, heads: frozenset[str] | None = None) -> list[tuple[str, int]]:
+    """(term, position from 1) of the tokens that are no stop words; positions count all tokens. plain: every token as it is.
+    heads: first letters (which a stem keeps) of the tokens to take, if not all."""
+    return [(t, k) for k, w in enumerate(_TOKEN.findall(text.lower()), 1) if (heads is None or w[0] in heads) and (t := _term(w, plain)) is not None]
 
 
 def postings(rows: DataFrame, id_col: str, text_col: str = "text", keep: tuple[str, ...] = (), plain: bool = False, wanted: frozenset[str] | None = None) -> DataFrame:
     """term, positions, id and the columns in keep; of the terms in wanted only, if given."""
+    heads = None if wanted is None else frozenset(t[0] for t in wanted)
 
-    @F.pandas_udf(ArrayType(StructType([StructField("term", StringType()), StructField("positions", ArrayType(IntegerType()))])))
-    def indexed(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            found: dict[str, list[int]] = {}
-            for term, k in analyze(text or "", plain):
-                if wanted is None or term in wanted:
-                    found.setdefault(term, []).append(k)
-            out.append([{"term": t, "positions": p} for t, p in found.items()])
-        return pd.Series(out, dtype=object)
+    @row_udf(ArrayType(StructType([StructField("term", StringType()), StructField("positions", ArrayType(IntegerType()))])))
+    def indexed(text: str | None) -> list[tuple[str, list[int]]]:
+        found: dict[str, list[int]] = {}
+        for term, k in analyze(text or "", plain, heads):
+            if wanted is None or term in wanted:
+                found.setdefault(term, []).append(k)
+        return list(found.items())
 
     return rows.select(id_col, *keep, F.explode(indexed(F.col(text_col))).alias("p")).select(F.col("p.term").alias("term"), id_col, *keep, F.col("p.positions").alias("positions"))
 
@@ -148,11 +147,12 @@ def search(index: DataFrame, queries: dict[int, str], id_col: str, ids: DataFram
         for q in open_ones:
             grouped = grouped.unionByName(ids.select(F.lit(q).alias("query_id"), id_col, none.alias("found")).join(grouped.filter(F.col("query_id") == q), id_col, "left_anti"))
 
-    @F.pandas_udf("double")
-    def score(query_ids: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([score_text(compiled[q], {x["term"]: sorted(x["positions"]) for x in f}, near) for q, f in zip(query_ids, found, strict=True)], dtype="float64")
+    @row_udf("double")
+    def score(query_id: int, found: list) -> float | None:
+        return score_text(compiled[query_id], {term: sorted(positions) for term, positions in found}, near)
 
-    return grouped.select("query_id", id_col, score("query_id", "found").alias("score")).filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    # Not deterministic for the optimiser, which would score once for the filter and once more for the column.
+    return grouped.select("query_id", id_col, score.asNondeterministic()("query_id", "found").alias("score")).filter(F.col("score").isNotNull())
 
 
 # The part that plain SQL can express: lower-case words, all of them wanted, frequencies summed.

@@ -124,7 +124,8 @@ def candidates(scores: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarra
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str, vector_col: str) -> DataFrame:
-    """query_id, id, score: of each task's rows the k nearest to each query. The queries come to the driver and go to each worker."""
+    """query_id, id, score: of each task's rows with a vector the k nearest to each query. The queries come to the driver and
+    go to each worker. Rows without a vector go here: a filter below would have vectors made in Python made twice."""
     asked = queries.select("query_id", F.col("query_vector").cast("array<double>").alias("query_vector"))
     table = asked.toArrow()
     names, vectors = table["query_id"].combine_chunks(), table["query_vector"].combine_chunks()
@@ -136,6 +137,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str, vector_col
         for batch in batches:
             for start in range(0, len(batch), SLICE):
                 part = batch.slice(start, SLICE)
+                part = part.filter(part.column(1).is_valid())
                 part = part.take(pc.sort_indices(part.column(0), null_placement="at_start"))
                 search(part.column(0), {width: (at, found) for width, at, found in Vectors.by_length(part.column(1))}, groups, best)
         best.merge()

@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from sparkweft import session
+from sparkweft.operators import corpus, retrieve
 from sparkweft.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +41,25 @@ def test_counts_are_combined_before_the_shuffle(spark):
     assert plan(spark, "source_distribution").count("HashAggregate") >= 2
 
 
+@pytest.mark.parametrize("name", ["hybrid_retriever"])
+def test_texts_come_to_python_a_hundred_rows_at_a_time(spark, name, monkeypatch):
+    plans = []
+    cut = session.cut_lineage
+    for module in (corpus, retrieve):  # what stands before a cut is not in the plan of the result
+        monkeypatch.setattr(module, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    plans.append(plan(spark, name))
+    found = "\n".join(plans)
+    assert "BatchEvalPython" in found and "ArrowEvalPython" not in found
+
+
+def test_python_runs_once_a_row(spark, monkeypatch):
+    plans = [plan(spark, "cover_density_plain")]
+    cut = session.cut_lineage
+    monkeypatch.setattr(retrieve, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    plan(spark, "hybrid_retriever")
+    assert len(plans) == 3 and [p.count("BatchEvalPython") for p in plans] == [2, 2, 1]
+
+
 @pytest.mark.parametrize("name", ["missing_urls", "orphan_urls", "upsert_documents", "replace_chunks", "incremental_changes", "duplicate_skips", "eval_hit_rate", "discovered_nodes"])
 def test_joins_are_by_keys(spark, name):
     found = plan(spark, name)

@@ -35,6 +35,16 @@ def test_search(spark):
     assert found == {1: {1, 2}, 2: {1}, 3: {1, 2, 3}, 4: {3}, 6: {4}}
 
 
+def test_tokens_are_taken_by_the_first_letter_that_stems_keep():
+    words = [a + b + c for a in ("", "b", "ay", "ski", "élan", "x9") for b in ("ies", "y", "eed", "ing", "ed", "ss", "iveness", "ational", "1") for c in ("", "s", "ed", "ing", "ment", "ly", "e", "é")]
+    assert all(stem(w)[0] == w[0] for w in words)
+    text = " ".join(words)
+    for plain in (False, True):
+        for head in "bisxé1":
+            assert fts.analyze(text, plain, frozenset(head)) == [(t, k) for t, k in fts.analyze(text, plain) if t[0] == head] != []
+    assert fts._term.cache_info().maxsize <= 1 << 16  # what a worker remembers is bounded
+
+
 def test_cover_density():
     assert fts.cover_density([[(1, 1), (10, 10)], [(2, 2)]], 16) == 2.0
     assert fts.cover_density([[(1, 1)], [(33, 33)]], 16) == 16 / 33
