@@ -41,7 +41,7 @@ def test_counts_are_combined_before_the_shuffle(spark):
     assert plan(spark, "source_distribution").count("HashAggregate") >= 2
 
 
-@pytest.mark.parametrize("name", ["hybrid_retriever", "sections_hierarchy", "chunks", "corpus_build", "html_extract", "toc_entries_of_pages", "cover_density_plain", "nav_filtered_docs"])
+@pytest.mark.parametrize("name", ["hybrid_retriever", "sections_hierarchy", "chunks", "corpus_build", "html_extract", "toc_entries_of_pages", "cover_density_plain", "nav_filtered_docs", "root_sections"])
 def test_texts_come_to_python_a_hundred_rows_at_a_time(spark, name, monkeypatch):
     plans = []
     cut = session.cut_lineage
