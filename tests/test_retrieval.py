@@ -110,6 +110,17 @@ def test_embedders():
     assert abs(sum(x * x for x in HashingEmbedder(16).embed_query("a b c")) - 1) < 1e-6
 
 
+def test_a_model_gets_batches(spark):
+    class Model:
+        dimension = 1
+
+        def embed_texts(self, texts):
+            return [[float(len(texts))] for _ in texts]
+
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, text string").coalesce(1)
+    assert [r.embedding for r in retrieve.embed_chunks(rows, Model()).orderBy("id").collect()] == [[2.0], None, [2.0]]
+
+
 def test_coverage_report(spark):
     root = "https://docs.example.com/root"
     inv = spark.createDataFrame([(root, "seed", 0, None, None), (f"{root}/topic-a", "toc", 1, root, None), (f"{root}/topic-b", "toc", 1, root, None)], "canonical_url string, source string, depth int, parent_canonical_url string, discovered_from string")
